@@ -1,0 +1,294 @@
+"""Structured Streaming forms of the operators.
+
+Every run has its own checkpoint under the shared folder, and sinks that can be written twice without harm: file
+sinks, or one folder per batch that a repeated batch replaces.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import StructType
+
+from tasklens import constants as K
+from tasklens.functions.names import present
+from tasklens.operators.canonical import broker_events
+from tasklens.operators.envelope import explode_envelopes, intact_prefix, rejection, route_event_types
+from tasklens.operators.naming import with_task_name
+from tasklens.operators.registry import registry_diff
+from tasklens.schemas import TABLES
+from tasklens.session import new_folder
+from tasklens.sources.views import VIEWS
+
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextmanager
+def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings for as long as a query starts; a query keeps the ones it started with."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def stream_table(spark: SparkSession, folder: str, name: str, **options: object) -> DataFrame:
+    """A table of ``folder`` as a stream of its files."""
+    reader = spark.readStream.schema(TABLES[name]).option("pathGlobFilter", f"{name}.parquet")
+    return reader.options(**{k: str(v) for k, v in options.items()}).parquet(folder)
+
+
+def stream_view(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A view over ``events`` as a stream."""
+    return spark.sql(VIEWS[name], events=stream_table(spark, folder, "events"))
+
+
+def append_all(stream: DataFrame, purpose: str) -> DataFrame:
+    """Everything available of ``stream``, appended to a folder of Parquet files and read back."""
+    spark = stream.sparkSession
+    folder = new_folder(spark, purpose)
+    run = (
+        stream.writeStream.format("parquet")
+        .option("path", f"{folder}/data")
+        .option("checkpointLocation", f"{folder}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    run.awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{folder}/data")
+
+
+def each_batch(
+    stream: DataFrame, purpose: str, shape: Callable[[DataFrame], DataFrame], mode: str = "append"
+) -> DataFrame:
+    """Everything available of ``stream``, each batch shaped and written to its own folder, read back as one table.
+
+    A batch that runs again replaces its folder. The table has a ``batch_id``.
+    """
+    spark = stream.sparkSession
+    folder = new_folder(spark, purpose)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        shape(batch).write.mode("overwrite").parquet(f"{folder}/data/batch_id={batch_id}")
+
+    run = (
+        stream.writeStream.foreachBatch(write)
+        .outputMode(mode)
+        .option("checkpointLocation", f"{folder}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    run.awaitTermination()
+    return spark.read.parquet(f"{folder}/data")
+
+
+# --- Stateless ------------------------------------------------------------------
+
+
+def normalised(envelopes: DataFrame) -> DataFrame:
+    """Envelopes (``message_id, event_ts, body``) to canonical events, as they arrive; nothing is kept between them."""
+    rows = route_event_types(explode_envelopes(intact_prefix(envelopes)).drop("poison"))
+    rows = rows.filter(rejection().isNull())
+    rows = rows.withColumns(
+        {"event_id": F.concat_ws(".", "message_id", "pos"), "carried_name": present(F.col("name"))}
+    )
+    return broker_events(with_task_name(rows))
+
+
+# --- Stateful -------------------------------------------------------------------
+
+
+class _RememberName(StatefulProcessor):
+    """Per task: the name its last named start gave it, until the task ends."""
+
+    def __init__(self, ttl_ms: int | None) -> None:
+        self._ttl_ms = ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._name = handle.getValueState("name", "name string", self._ttl_ms)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        task = pd.concat(rows).sort_values(["event_ts", "event_id"], ignore_index=True)
+        before = self._name.get()[0] if self._name.exists() else ""
+        named = (task["kind"] == "started") & task["name"].fillna("").ne("") & task["uuid"].fillna("").ne("")
+        ended = task["kind"].isin(K.TERMINAL_KINDS)
+        # A write is a name, or nothing where the task has ended; unknown where the row does not write.
+        writes = task["name"].where(named).astype(object).mask(ended, "")
+        memory = writes.ffill()
+        known = memory.shift(1).fillna(before)
+        own = task["name"].fillna("")
+        carried = own.where(own.ne(""), known)
+        task["carried_name"] = carried.where(carried.ne(""), None)
+        after = memory.iloc[-1] if pd.notna(memory.iloc[-1]) else before
+        if after:
+            self._name.update((after,))
+        else:
+            self._name.clear()
+        yield task.drop(columns="_key", errors="ignore")
+
+    def close(self) -> None: ...
+
+
+def carry_names(events: DataFrame, ttl_hours: float | None = 24 * 7) -> DataFrame:
+    """``carry_task_name`` for a stream: the remembered names are state, and expire instead of being evicted.
+
+    A group is one task's rows of one batch, so its size is bounded by the source's batch limits
+    (``maxFilesPerTrigger``, ``maxBytesPerTrigger``). Rows without a task id remember nothing and are spread.
+    """
+    apart = F.concat(F.lit("\x00"), F.pmod(F.xxhash64("event_id"), F.lit(4096)))
+    keyed = events.withColumn("_key", F.coalesce(present(F.col("uuid")), apart))
+    out = StructType.fromJson(events.schema.jsonValue()).add("carried_name", "string")
+    return keyed.groupBy("_key").transformWithStateInPandas(
+        _RememberName(None if ttl_hours is None else int(ttl_hours * 3_600_000)),
+        outputStructType=out,
+        outputMode="Append",
+        timeMode="ProcessingTime" if ttl_hours is not None else "None",
+    )
+
+
+def carried(events: DataFrame, ttl_hours: float | None = 24 * 7) -> DataFrame:
+    with _settings(events.sparkSession, {"spark.sql.streaming.stateStore.providerClass": _ROCKSDB}):
+        return append_all(carry_names(events, ttl_hours), "carried")
+
+
+def deduped(events: DataFrame, delay: str = "1 hour") -> DataFrame:
+    """One row per event id among events that arrive within ``delay`` of each other."""
+    return events.withWatermark("event_ts", delay).dropDuplicatesWithinWatermark(["event_id"])
+
+
+def windowed_counts(events: DataFrame, by: tuple[str, ...], size: str, slide: str | None = None, delay: str = "1 hour") -> DataFrame:
+    """Events per tumbling (or sliding) window and ``by``; partial counts are combined before the shuffle."""
+    window = F.window("event_ts", size, slide) if slide else F.window("event_ts", size)
+    counts = events.withWatermark("event_ts", delay).groupBy(window, *by).agg(F.count("*").alias("n"))
+    return counts.select(F.col("window.start").alias("window_start"), *by, "n")
+
+
+def session_counts(events: DataFrame, by: tuple[str, ...], gap: str, delay: str = "1 hour") -> DataFrame:
+    """Events per session: a run of events of one ``by`` with no pause of ``gap``."""
+    session = F.session_window("event_ts", gap)
+    counts = events.withWatermark("event_ts", delay).groupBy(session, *by).agg(F.count("*").alias("n"))
+    return counts.select(
+        F.col("session_window.start").alias("session_start"), F.col("session_window.end").alias("session_end"), *by, "n"
+    )
+
+
+def latest_of(updates: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """The newest row per key of a table written by ``each_batch``."""
+    kept = [c for c in updates.columns if c not in (*keys, "batch_id")]
+    newest = F.max_by(F.struct(*kept), "batch_id").alias("_row")
+    return updates.groupBy(*keys).agg(newest).select(*keys, "_row.*")
+
+
+def sessions(events: DataFrame, by: tuple[str, ...], gap: str, delay: str = "1 hour") -> DataFrame:
+    """Closed sessions. Rows of one session are merged before the shuffle, so a busy key sends few rows."""
+    merge = {"spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true"}
+    with _settings(events.sparkSession, merge):
+        return append_all(session_counts(events, by, gap, delay), "sessions")
+
+
+def window_totals(events: DataFrame, by: tuple[str, ...], size: str, slide: str | None = None) -> DataFrame:
+    """Window counts so far, open windows included: every batch appends the counts it changed."""
+    counts = windowed_counts(events, by, size, slide)
+    updates = each_batch(counts, "windows", lambda batch: batch, mode="update")
+    return latest_of(updates, ("window_start", *by))
+
+
+# --- Kept tables ----------------------------------------------------------------
+
+
+def _partial_state(events: DataFrame) -> DataFrame:
+    place = F.struct("event_ts", "event_id")
+    return events.groupBy("task_id").agg(
+        F.max(F.struct(place.alias("place"), "kind")).alias("latest"),
+        F.min("event_ts").alias("first_ts"),
+        F.count("*").alias("n_events"),
+    )
+
+
+def merged_states(partials: DataFrame) -> DataFrame:
+    """The latest state per task out of partial states, in any number and order."""
+    return partials.groupBy("task_id").agg(
+        F.max("latest").alias("latest"), F.min("first_ts").alias("first_ts"), F.sum("n_events").alias("n_events")
+    )
+
+
+def latest_state(events: DataFrame) -> DataFrame:
+    """The latest kind per task, kept up to date by a stream.
+
+    Each batch is folded to one partial state per task it touches and appended. Partial states merge in any order,
+    so there is no state store to grow, late events need no watermark, and a reader folds the table once more.
+    ``merged_states`` also compacts it.
+    """
+    table = each_batch(events, "states", _partial_state)
+    return merged_states(table.drop("batch_id")).select(
+        "task_id", "latest.kind", "first_ts", F.col("latest.place.event_ts").alias("last_ts"), "n_events"
+    )
+
+
+def loss_metrics(events: DataFrame) -> DataFrame:
+    """What a stream loses, out of the metrics Spark gathers while rows pass: one row per batch with input."""
+    watched = events.observe(
+        "loss",
+        F.count("*").alias("seen"),
+        F.count_if("poison").alias("poisoned"),
+        F.count_if(~F.col("type").isin(*K.BROKER_KINDS)).alias("unrouted"),
+    )
+    spark = events.sparkSession
+    folder = new_folder(spark, "loss")
+    run = (
+        route_event_types(watched)
+        .writeStream.format("parquet")
+        .option("path", f"{folder}/data")
+        .option("checkpointLocation", f"{folder}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    run.awaitTermination()
+    rows = [
+        (p.batchId, *(p.observedMetrics["loss"][m] for m in ("seen", "poisoned", "unrouted")))
+        for p in run.recentProgress
+        if "loss" in p.observedMetrics and p.numInputRows > 0
+    ]
+    return spark.createDataFrame(rows, "batch_id long, seen long, poisoned long, unrouted long")
+
+
+MANIFEST = "snapshot_id bigint, path string, previous_path string"
+
+
+def registry_changes(manifests: DataFrame, fields: tuple[str, ...]) -> DataFrame:
+    """A change feed out of a stream of registry snapshots.
+
+    The stream carries one ``MANIFEST`` row per snapshot, not the snapshot: a batch holds a few paths, and each
+    snapshot is read and compared with the one before it in parallel.
+    """
+    spark = manifests.sparkSession
+    folder = new_folder(spark, "registry")
+    columns = "name string, " + ", ".join(f"{f} string" for f in fields)
+
+    def compare(batch: DataFrame, _batch_id: int) -> None:
+        for row in batch.orderBy("snapshot_id").toLocalIterator():
+            new = spark.read.schema(columns).parquet(row.path)
+            old = spark.read.schema(columns).parquet(row.previous_path) if row.previous_path else new.limit(0)
+            changes = registry_diff(old, new, fields)
+            changes.write.mode("overwrite").parquet(f"{folder}/changes/snapshot_id={row.snapshot_id}")
+
+    run = (
+        manifests.writeStream.foreachBatch(compare)
+        .option("checkpointLocation", f"{folder}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    run.awaitTermination()
+    return spark.read.parquet(f"{folder}/changes")
