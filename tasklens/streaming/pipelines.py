@@ -121,22 +121,20 @@ class _RememberName(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         task = pd.concat(rows).sort_values(["event_ts", "event_id"], ignore_index=True)
-        before = self._name.get()[0] if self._name.exists() else ""
-        named = (task["kind"] == "started") & task["name"].fillna("").ne("") & task["uuid"].fillna("").ne("")
-        ended = task["kind"].isin(K.TERMINAL_KINDS)
-        # A write is a name, or nothing where the task has ended; unknown where the row does not write.
-        writes = task["name"].where(named).astype(object).mask(ended, "")
-        memory = writes.ffill()
-        known = memory.shift(1).fillna(before)
-        own = task["name"].fillna("")
-        carried = own.where(own.ne(""), known)
-        task["carried_name"] = carried.where(carried.ne(""), None)
-        after = memory.iloc[-1] if pd.notna(memory.iloc[-1]) else before
-        if after:
-            self._name.update((after,))
+        memory = self._name.get()[0] if self._name.exists() else None
+        has_id = bool(task["uuid"].iloc[0])
+        carried = []
+        for kind, name in zip(task["kind"], task["name"], strict=True):
+            carried.append(name or memory)
+            if kind in K.TERMINAL_KINDS:
+                memory = None
+            elif kind == "started" and name and has_id:
+                memory = name
+        if memory:
+            self._name.update((memory,))
         else:
             self._name.clear()
-        yield task.drop(columns="_key", errors="ignore")
+        yield task.assign(carried_name=pd.Series(carried, dtype=object)).drop(columns="_key", errors="ignore")
 
     def close(self) -> None: ...
 
@@ -159,7 +157,12 @@ def carry_names(events: DataFrame, ttl_hours: float | None = 24 * 7) -> DataFram
 
 
 def carried(events: DataFrame, ttl_hours: float | None = 24 * 7) -> DataFrame:
-    with _settings(events.sparkSession, {"spark.sql.streaming.stateStore.providerClass": _ROCKSDB}):
+    settings = {
+        "spark.sql.streaming.stateStore.providerClass": _ROCKSDB,
+        # Expiring state asks for a next batch for ever, which a run that is to end must not grant.
+        "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+    }
+    with _settings(events.sparkSession, settings):
         return append_all(carry_names(events, ttl_hours), "carried")
 
 
