@@ -120,7 +120,9 @@ SENSITIVE_KEYS = (
 TEXT_RULES = (
     (
         "assignment",
-        r"(?i)(password|passwd|secret|token|api_key|apikey|authorization|private_key)"
+        # password, passwd, private_key, secret, token, api_key, apikey, authorization; few branches, as each
+        # of them is tried at every character.
+        r"(?i)(p(?:ass(?:word|wd)|rivate_key)|secret|token|a(?:pi_?key|uthorization))"
         r"([\"']?[ \t]*[:=][ \t]*[\"']?)[^ \t\r\n\"',;]+",
         "$1$2[REDACTED]",
     ),

@@ -7,12 +7,11 @@ from pyspark.sql import functions as F
 
 from tasklens import constants as K
 from tasklens.functions.names import present
-from tasklens.functions.payload import number
 
 
-def _lookup(key: Column, table: dict) -> Column:
-    pairs = [F.lit(x) for item in table.items() for x in item]
-    return F.try_element_at(F.create_map(*pairs), key)
+def lookup(key: Column, table: dict) -> Column:
+    """The value of a fixed table at ``key``; NULL for a key it does not hold."""
+    return F.try_element_at(F.expr(f"map({', '.join(repr(x) for item in table.items() for x in item)})"), key)
 
 
 def transport_kind(driver: Column) -> Column:
@@ -26,8 +25,8 @@ def transport_kind(driver: Column) -> Column:
 def priority_of_label(label: Column, transport: Column) -> Column:
     """The number a transport uses for a named priority; transports other than redis rank as amqp does."""
     key = F.lower(F.trim(label))
-    return F.when(transport.eqNullSafe("redis"), _lookup(key, K.REDIS_PRIORITIES)).otherwise(
-        _lookup(key, K.AMQP_PRIORITIES)
+    return F.when(transport.eqNullSafe("redis"), lookup(key, K.REDIS_PRIORITIES)).otherwise(
+        lookup(key, K.AMQP_PRIORITIES)
     )
 
 
@@ -55,15 +54,16 @@ def pool_type(pool: Column) -> Column:
     return F.when(low.isNull(), K.DEFAULT_POOL).when(low.contains("solo"), "solo").otherwise(low)
 
 
-def eta_problem(eta: Column, now: Column) -> Column:
-    """Why ``eta`` (epoch seconds as text) is refused; NULL if it is absent or inside the window."""
-    at = number(eta)
-    delta = at - now
+def eta_problem(eta: Column, at: Column, now: Column) -> Column:
+    """Why an ETA is refused; NULL if it is absent or inside the window.
+
+    ``at`` is ``number(eta)``: the ETA in epoch seconds, best taken from a column of its own as it is used often.
+    """
     return (
         F.when(eta.isNull(), F.lit(None).cast("string"))
-        .when(at.isNull() | ~at.between(K.ETA_MIN_EPOCH, K.ETA_MAX_EPOCH), "invalid")
-        .when(delta < -K.ETA_MAX_PAST_SECONDS, "too far past")
-        .when(delta > K.ETA_MAX_FUTURE_SECONDS, "too far future")
+        .when(at.isNull() | (at < K.ETA_MIN_EPOCH) | (at > K.ETA_MAX_EPOCH), "invalid")
+        .when(at - now < -K.ETA_MAX_PAST_SECONDS, "too far past")
+        .when(at - now > K.ETA_MAX_FUTURE_SECONDS, "too far future")
     )
 
 
@@ -80,4 +80,4 @@ def clears_rate(rate: Column) -> Column:
 
 
 def canonical_state(state: Column) -> Column:
-    return F.coalesce(_lookup(state, K.CANONICAL_STATES), F.lit(K.UNKNOWN_STATE))
+    return F.coalesce(lookup(state, K.CANONICAL_STATES), F.lit(K.UNKNOWN_STATE))

@@ -38,42 +38,38 @@ def task_runtime_stats(
 ) -> DataFrame:
     """Per task name: count, average, extremes and exact percentiles (interpolated) of ``runtime_ms``.
 
-    Equal runtimes are counted together first, so neither a frequent task nor a frequent value weighs on one task;
-    the percentiles are then read off the running counts.
+    Equal runtimes are counted together first, so neither a frequent task nor a frequent value weighs on one task.
+    Running counts from both ends then give every value its rank and the total, without a second look at the events.
     """
-    runs = events.filter(F.col("runtime_ms").isNotNull())
-    counts = runs.groupBy("task_name", "runtime_ms").agg(F.count("*").alias("_n"))
-    placed = running(
-        counts, ["task_name"], ("runtime_ms",), [[Running("_upto", F.col("_n"), "sum")]], key_row_budget
+    counts = (
+        events.filter(F.col("runtime_ms").isNotNull())
+        .groupBy("task_name", "runtime_ms")
+        .agg(F.count("*").alias("_n"))
+        .withColumn("_down", -F.col("runtime_ms"))
     )
-    totals = counts.groupBy("task_name").agg(
+    for name, order in (("_upto", "runtime_ms"), ("_from", "_down")):
+        counts = running(
+            counts, ["task_name"], (order,), [[Running(name, F.col("_n"), "sum")]], key_row_budget
+        )
+    last = F.col("_upto") + F.col("_from") - F.col("_n") - 1
+    ends = []
+    for i, p in enumerate(points):
+        for side, rank in (("low", F.floor(last * F.lit(p))), ("high", F.ceil(last * F.lit(p)))):
+            ends.append(F.min(F.when(F.col("_upto") > rank, F.col("runtime_ms"))).alias(f"_{side}{i}"))
+    folded = counts.groupBy("task_name").agg(
         F.sum("_n").alias("n"),
         F.sum(F.col("_n") * F.col("runtime_ms")).alias("_sum"),
         F.min("runtime_ms").alias("min_ms"),
         F.max("runtime_ms").alias("max_ms"),
+        *ends,
     )
-    ranks = placed.join(totals, "task_name")
-    aggregates = [F.first(c).alias(c) for c in ("n", "_sum", "min_ms", "max_ms")]
-    for i, p in enumerate(points):
-        at = (F.col("n") - 1) * F.lit(p)
-        for side, rank in (("low", F.floor(at)), ("high", F.ceil(at))):
-            aggregates.append(
-                F.min(F.when(F.col("_upto") > rank, F.col("runtime_ms"))).alias(f"_{side}{i}")
-            )
-    folded = ranks.groupBy("task_name").agg(*aggregates)
     percentiles = []
     for i, p in enumerate(points):
         at = (F.col("n") - 1) * F.lit(p)
         low, high = F.col(f"_low{i}"), F.col(f"_high{i}")
-        value = low + (high - low) * (at - F.floor(at))
-        percentiles.append(value.alias(f"p{round(p * 100)}_ms"))
+        percentiles.append((low + (high - low) * (at - F.floor(at))).alias(f"p{round(p * 100)}_ms"))
     return folded.select(
-        "task_name",
-        "n",
-        (F.col("_sum") / F.col("n")).alias("avg_ms"),
-        "min_ms",
-        "max_ms",
-        *percentiles,
+        "task_name", "n", (F.col("_sum") / F.col("n")).alias("avg_ms"), "min_ms", "max_ms", *percentiles
     )
 
 

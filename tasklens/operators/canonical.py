@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tasklens import constants as K
-from tasklens.functions.control import _lookup
+from tasklens.functions.control import lookup
 from tasklens.functions.names import placeholder_name, present
 from tasklens.functions.payload import (
     coerce_args,
@@ -105,7 +105,7 @@ def signal_events(df: DataFrame, meta: DataFrame | None = None) -> DataFrame:
     received, started = F.col("kind") == "received", F.col("kind") == "started"
     df = gate_signals(df).withColumns(
         {
-            "kind": _lookup(F.col("signal"), K.SIGNAL_KINDS),
+            "kind": lookup(F.col("signal"), K.SIGNAL_KINDS),
             "_id": signal_task_id(),
         }
     )

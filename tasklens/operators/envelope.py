@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tasklens import constants as K
+from tasklens.functions.control import lookup
 from tasklens.functions.names import present
 from tasklens.functions.payload import number, runtime_ms
 from tasklens.operators.ordered import MEASURE_ABOVE_BYTES
@@ -69,10 +70,7 @@ def poison_cuts(df: DataFrame, poison: str = "poison") -> DataFrame:
 
 def route_event_types(df: DataFrame) -> DataFrame:
     """Keep the event types the broker path owns and name their ``kind``."""
-    pairs = [F.lit(x) for item in K.BROKER_KINDS.items() for x in item]
-    return df.filter(F.col("type").isin(*K.BROKER_KINDS)).withColumn(
-        "kind", F.create_map(*pairs)[F.col("type")]
-    )
+    return df.filter(F.col("type").isin(*K.BROKER_KINDS)).withColumn("kind", lookup(F.col("type"), K.BROKER_KINDS))
 
 
 def local_host(*candidates: str | None) -> str | None:
@@ -87,18 +85,22 @@ def filter_hostname(df: DataFrame, override: str | None = None, fallback: str |
     return df if host is None else df.filter(F.col("hostname") == host)
 
 
-def rejection(kind: str = "kind", runtime: str = "runtime") -> Column:
+def mappable() -> Column:
+    """False for the rows that cannot be mapped: a succeeded event whose runtime cannot be read."""
+    return (F.col("kind") != "succeeded") | F.col("runtime").isNull() | runtime_ms(F.col("runtime")).isNotNull()
+
+
+def rejection() -> Column:
     """Why an event cannot be mapped; NULL for good events."""
-    unusable = (F.col(kind) == "succeeded") & F.col(runtime).isNotNull() & runtime_ms(F.col(runtime)).isNull()
-    return F.when(unusable & number(F.col(runtime)).isNull(), "runtime is not a finite number").when(
-        unusable, "runtime is out of range"
+    reason = F.when(number(F.col("runtime")).isNull(), "runtime is not a finite number").otherwise(
+        "runtime is out of range"
     )
+    return F.when(~mappable(), reason)
 
 
 def absorb_bad_events(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split events into those that can be mapped and those that cannot, with a ``rejected`` reason."""
-    reason = rejection()
-    return df.filter(reason.isNull()), df.withColumn("rejected", reason).filter("rejected is not null")
+    return df.filter(mappable()), df.filter(~mappable()).withColumn("rejected", rejection())
 
 
 def gate_signals(df: DataFrame) -> DataFrame:

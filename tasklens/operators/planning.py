@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tasklens import constants as K
 from tasklens.functions.control import eta_problem, priority_of_label
 from tasklens.functions.names import authoritative, present
+from tasklens.functions.payload import number
 from tasklens.operators.ordered import Running, running
 
 
@@ -63,14 +64,15 @@ def retry_plan(
     name = retry_name(F.col("supplied_name"), F.col("_name"), F.col("_info_name"), F.col("_info_task"))
     args = F.coalesce("override_args", "_args")
     kwargs = F.coalesce("override_kwargs", "_kwargs")
-    reason = (
-        F.when(eta_problem(F.col("eta"), now).isNotNull(), F.concat(F.lit("eta "), eta_problem(F.col("eta"), now)))
-        .when(name.isNull(), "name unresolved")
-        .when(args.isNull() | kwargs.isNull(), "inputs unresolved")
+    reason = F.coalesce(
+        F.concat(F.lit("eta "), eta_problem(F.col("eta"), F.col("_at"), now)),
+        F.when(F.col("_resolved").isNull(), "name unresolved").when(
+            args.isNull() | kwargs.isNull(), "inputs unresolved"
+        ),
     )
     priority = priority_of_label(F.col("priority_label"), transport if transport is not None else F.lit("amqp"))
     joined = requests.join(stored, F.col("task_id") == F.col("_task"), "left")
-    decided = joined.withColumns({"_reason": reason, "_resolved": name})
+    decided = joined.withColumns({"_resolved": name, "_at": number(F.col("eta"))}).withColumn("_reason", reason)
     accepted = F.col("_reason").isNull()
     return decided.select(
         *[c for c in ("command_id", "position") if c in requests.columns],

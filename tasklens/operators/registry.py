@@ -93,8 +93,13 @@ def _definitions(content: bytes) -> list[tuple[str, str | None, str]]:
     ]
 
 
-def scan_definitions(files: DataFrame) -> DataFrame:
-    """The task functions declared in ``files(path, content)``; a file that does not parse declares none."""
+def scan_definitions(files: DataFrame, tasks: int | None = None) -> DataFrame:
+    """The task functions declared in ``files(path, content)``; a file that does not parse declares none.
+
+    Parsing costs far more than moving a file, so ``tasks`` spreads files that lie in few partitions over more.
+    """
+    if tasks is not None:
+        files = files.repartition(tasks, "path")
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

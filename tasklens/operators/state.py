@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tasklens import constants as K
-from tasklens.functions.control import canonical_state
+from tasklens.functions.control import canonical_state, lookup
 from tasklens.functions.names import present
 from tasklens.functions.text import tail
 
@@ -37,9 +37,8 @@ def reconcile_record(backend: DataFrame) -> DataFrame:
 
 def state_drift(latest: DataFrame, backend: DataFrame) -> DataFrame:
     """Per task, the state its events imply against the stored one. Both inputs hold one row per ``task_id``."""
-    pairs = [F.lit(x) for item in _STATE_AFTER.items() for x in item]
     seen = latest.select(
-        "task_id", canonical_state(F.create_map(*pairs)[F.col("kind")]).alias("event_state")
+        "task_id", canonical_state(lookup(F.col("kind"), _STATE_AFTER)).alias("event_state")
     )
     stored = backend.select(
         F.col("task_id").alias("_stored"), canonical_state(F.col("state")).alias("stored_state")

@@ -49,7 +49,7 @@ UNION ALL SELECT path, 'inner_' || p_partkey, NULL, '(x: ''list[int]'')' {_SCANN
 )
 def scan_definitions(spark, folder):
     files = _sources(spark, folder).filter("file in ('tasks.py', 'tasks/mail.py')")
-    return R.scan_definitions(files).select("path", "function", "queue", "signature")
+    return R.scan_definitions(files, spark.sparkContext.defaultParallelism * 2).select("path", "function", "queue", "signature")
 
 
 @query(

@@ -205,9 +205,8 @@ ETA_SQL = """CASE WHEN eta IS NULL THEN NULL WHEN coalesce(isnan(try_cast(eta AS
 
 @query("eta_check", f"SELECT position, eta, {ETA_SQL} AS problem FROM {{retry_requests}}")
 def eta_check(spark, folder):
-    return view(spark, folder, "retry_requests").select(
-        "position", "eta", C.eta_problem(F.col("eta"), F.lit(NOW)).alias("problem")
-    )
+    rows = view(spark, folder, "retry_requests").withColumn("at", P.number(F.col("eta")))
+    return rows.select("position", "eta", C.eta_problem(F.col("eta"), F.col("at"), F.lit(NOW)).alias("problem"))
 
 
 @query(

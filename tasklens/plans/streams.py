@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tasklens.operators.envelope import rejection, route_event_types
+from tasklens.operators.envelope import mappable, route_event_types
 from tasklens.plans.catalog import query
 from tasklens.session import new_folder
 from tasklens.sources.readers import stream_task_events, with_instant
@@ -46,7 +46,7 @@ SELECT event_id, uuid, kind, coalesce(nullif(name, ''), last_value(CASE WHEN kin
 )
 def stream_carry_name(spark, folder):
     routed = route_event_types(_raw(spark, folder))
-    good = routed.filter(rejection().isNull()).select("event_id", "event_ts", "uuid", "kind", "name")
+    good = routed.filter(mappable()).select("event_id", "event_ts", "uuid", "kind", "name")
     return S.carried(good).select("event_id", "uuid", "kind", "carried_name")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import pandas as pd
@@ -67,30 +68,52 @@ def list_source_files(roots: DataFrame, with_content: bool = True) -> DataFrame:
     """
 
     def listing(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs
-
         for batch in batches:
-            rows = []
             for root in batch["root"]:
-                system, base = fs.FileSystem.from_uri(root) if ":" in root else (fs.LocalFileSystem(), root)
-                base = base.rstrip("/")
-                for folder in (base, f"{base}/{K.SOURCE_PACKAGE}"):
-                    if _is_link(system, folder):
-                        break
-                    for info in system.get_file_info(fs.FileSelector(folder, allow_not_found=True)):
-                        if info.is_file and info.path.endswith(".py") and not _is_link(system, info.path):
-                            small = with_content and info.size <= K.SOURCE_FILE_BYTES
-                            content = system.open_input_file(info.path).readall() if small else None
-                            rows.append((info.path, info.size, content))
-            yield pd.DataFrame(rows, columns=["path", "length", "content"])
+                # One small frame at a time, as file contents add up.
+                rows, held = [], 0
+                for path, size in _python_files(root):
+                    content = _content(root, path) if with_content and size <= K.SOURCE_FILE_BYTES else None
+                    rows.append((path, size, content))
+                    held += size if content else 0
+                    if held > _HELD_BYTES or len(rows) >= 1000:
+                        yield pd.DataFrame(rows, columns=["path", "length", "content"])
+                        rows, held = [], 0
+                yield pd.DataFrame(rows, columns=["path", "length", "content"])
 
     return roots.select("root").mapInPandas(listing, SOURCE_FILE)
 
 
-def _is_link(system, path: str) -> bool:
-    import os
+_HELD_BYTES = 16 * 1024 * 1024
+
+
+def _filesystem(root: str):
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(root) if ":" in root else (fs.LocalFileSystem(), root)
+
+
+def _content(root: str, path: str) -> bytes:
+    return _filesystem(root)[0].open_input_file(path).readall()
+
+
+def _python_files(root: str) -> Iterator[tuple[str, int]]:
+    from pyarrow import fs
+
+    system, base = _filesystem(root)
+    base = base.rstrip("/")
+
+    def is_link(path: str) -> bool:
+        return system.type_name == "local" and os.path.islink(path)
 
-    return system.type_name == "local" and os.path.islink(path)
+    if is_link(base):
+        return
+    for folder in (base, f"{base}/{K.SOURCE_PACKAGE}"):
+        if is_link(folder):
+            continue
+        for info in system.get_file_info(fs.FileSelector(folder, allow_not_found=True)):
+            if info.is_file and info.path.endswith(".py") and not is_link(info.path):
+                yield info.path, info.size
 
 
 def scan_source_files(roots: DataFrame) -> DataFrame:

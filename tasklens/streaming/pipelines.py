@@ -18,7 +18,7 @@ from pyspark.sql.types import StructType
 from tasklens import constants as K
 from tasklens.functions.names import present
 from tasklens.operators.canonical import broker_events
-from tasklens.operators.envelope import explode_envelopes, intact_prefix, rejection, route_event_types
+from tasklens.operators.envelope import explode_envelopes, intact_prefix, mappable, route_event_types
 from tasklens.operators.naming import with_task_name
 from tasklens.operators.registry import registry_diff
 from tasklens.schemas import TABLES
@@ -100,7 +100,7 @@ def each_batch(
 def normalised(envelopes: DataFrame) -> DataFrame:
     """Envelopes (``message_id, event_ts, body``) to canonical events, as they arrive; nothing is kept between them."""
     rows = route_event_types(explode_envelopes(intact_prefix(envelopes)).drop("poison"))
-    rows = rows.filter(rejection().isNull())
+    rows = rows.filter(mappable())
     rows = rows.withColumns(
         {"event_id": F.concat_ws(".", "message_id", "pos"), "carried_name": present(F.col("name"))}
     )

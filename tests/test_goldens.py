@@ -200,7 +200,7 @@ def test_eta(spark):
         None: None, str(now + 60): None, str(now - 60): None, str(now - 61): "too far past", str(now + 31_536_000): None,
         str(now + 31_536_001): "too far future", "x": "invalid", "nan": "invalid", "1e30": "invalid", str(now + 0.5): None,
     }
-    assert texts(spark, cases, C.eta_problem(F.col("x"), F.lit(now))) == list(cases.values())
+    assert texts(spark, cases, C.eta_problem(F.col("x"), P.number(F.col("x")), F.lit(now))) == list(cases.values())
 
 
 def test_rates(spark):

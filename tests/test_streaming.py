@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tasklens.operators.analytics import task_latest_state
-from tasklens.operators.envelope import rejection, route_event_types
+from tasklens.operators.envelope import mappable, route_event_types
 from tasklens.operators.naming import carry_task_name
 from tasklens.plans.catalog import canonical
 from tasklens.sources.readers import stream_task_events, with_instant
@@ -29,7 +29,7 @@ def test_names_are_carried_across_batches(spark, sf, tmp_path):
     task = F.col("uuid").isin([f"{u}-{k}" for u in range(4) for k in range(10)]) | (F.col("event_id") % 50 == 0)
 
     def good(df):
-        return route_event_types(df).filter(rejection().isNull() & task)
+        return route_event_types(df).filter(mappable() & task)
 
     batch = good(raw).withColumn("uuid", F.when(F.col("event_id") % 50 != 0, F.col("uuid")))
     arriving = good(stream).withColumn("uuid", F.when(F.col("event_id") % 50 != 0, F.col("uuid")))
