@@ -14,42 +14,48 @@ from tasklens.schemas import ENVELOPE_EVENT
 from tasklens.session import estimated_bytes
 
 
-def explode_envelopes(df: DataFrame, body: str = "body") -> DataFrame:
+def _elements(body: str) -> Column:
+    """The texts of a body's elements: a body is one event or a list of events."""
+    is_list = F.ltrim(F.col(body)).startswith("[")
+    return F.when(is_list, F.from_json(body, "array<string>")).otherwise(F.array(body))
+
+
+def _is_event(element: Column) -> Column:
+    return F.coalesce(F.ltrim(element).startswith("{"), F.lit(False))
+
+
+def _intact(df: DataFrame, body: str) -> DataFrame:
+    """Add ``_elements`` cut before the first that is no event, and ``_total``, how many there were."""
+    first_bad = F.array_position(F.transform("_all", lambda e: ~_is_event(e)), True)
+    cut = F.slice("_all", F.lit(1), (F.col("_bad") - 1).cast("int"))
+    return (
+        df.withColumn("_all", _elements(body))
+        .withColumn("_bad", first_bad)
+        .withColumns({"_elements": F.when(F.col("_bad") > 0, cut).otherwise(F.col("_all")), "_total": F.size("_all")})
+        .drop("_all", "_bad")
+    )
+
+
+def explode_envelopes(df: DataFrame, body: str = "body", intact: bool = False) -> DataFrame:
     """One row per envelope element: its ``pos``, its fields, and ``poison`` where it is not an object.
 
-    A body is one event or a list of events. Parsing happens inside the row, so nothing is shuffled.
+    Parsing happens inside the row, so nothing is shuffled. ``intact`` cuts each envelope before its first poisoned
+    element: the stateless form of ``quarantine_poison`` for envelopes that are still whole, fit for streams.
     """
-    text = F.ltrim(F.col(body))
-    elements = F.when(text.startswith("["), F.from_json(body, "array<string>")).otherwise(F.array(body))
-    rows = df.select(
-        *[c for c in df.columns if c != body], F.posexplode(elements).alias("pos", "_element")
-    )
-    is_object = F.coalesce(F.ltrim("_element").startswith("{"), F.lit(False))
+    rows = _intact(df, body).drop("_total") if intact else df.withColumn("_elements", _elements(body))
+    kept = [c for c in df.columns if c != body]
+    rows = rows.select(*kept, F.posexplode("_elements").alias("pos", "_element"))
+    is_event = _is_event(F.col("_element"))
     parsed = rows.withColumns(
-        {"_event": F.from_json(F.when(is_object, F.col("_element")), ENVELOPE_EVENT), "poison": ~is_object}
+        {"_event": F.from_json(F.when(is_event, F.col("_element")), ENVELOPE_EVENT), "poison": ~is_event}
     )
     return parsed.select("*", "_event.*").drop("_event", "_element")
 
 
-def intact_prefix(df: DataFrame, body: str = "body") -> DataFrame:
-    """Cut each envelope before its first element that is not an object; adds ``lost`` elements per envelope.
-
-    The stateless form of ``quarantine_poison``, for envelopes that are still whole; fit for streams.
-    """
-    text = F.ltrim(F.col(body))
-    elements = F.when(text.startswith("["), F.from_json(body, "array<string>")).otherwise(F.array(body))
-    bad = F.transform("_all", lambda e: ~F.coalesce(F.ltrim(e).startswith("{"), F.lit(False)))
-    first_bad = F.array_position(bad, True)
-    kept = F.when(first_bad > 0, F.slice("_all", F.lit(1), (first_bad - 1).cast("int"))).otherwise(
-        F.col("_all")
-    )
-    return (
-        df.withColumn("_all", elements)
-        .withColumn("_kept", kept)
-        .withColumn("lost", F.size("_all") - F.size("_kept"))
-        .withColumn(body, F.concat(F.lit("["), F.array_join("_kept", ","), F.lit("]")))
-        .drop("_all", "_kept")
-    )
+def envelope_loss(df: DataFrame, body: str = "body") -> DataFrame:
+    """Per envelope, how many elements are kept and how many are lost to poison."""
+    cut = _intact(df, body).withColumn("n_kept", F.size("_elements"))
+    return cut.withColumn("n_lost", F.col("_total") - F.col("n_kept")).drop(body, "_elements", "_total")
 
 
 def quarantine_poison(df: DataFrame, poison: str = "poison") -> DataFrame:

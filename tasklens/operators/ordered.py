@@ -22,7 +22,7 @@ from tasklens.session import checkpointed, estimated_bytes
 # Rows of one key that one task may hold.
 KEY_ROW_BUDGET = 5_000_000
 # Below this estimated input size no key can hold enough rows to matter, so it is not measured.
-MEASURE_ABOVE_BYTES = 256 * 1024 * 1024
+MEASURE_ABOVE_BYTES = 64 * 1024 * 1024
 # Broadcast key lists only up to this many rows.
 BROADCAST_ROWS = 100_000
 

@@ -12,7 +12,7 @@ from tasklens.plans.catalog import canonical, named_sql, query
 from tasklens.session import new_folder
 from tasklens.sources import readers
 from tasklens.sources.views import signals, view
-from tasklens.streaming import pipelines
+from tasklens.streaming import runs
 
 _RAW = "event_id, event_ts, message_id, pos, uuid, type, name, hostname, runtime, exception, poison"
 
@@ -26,7 +26,7 @@ def read_task_events(spark, folder):
 
 @query("stream_task_events", f"SELECT {_RAW} FROM {{raw_task_events}}")
 def stream_task_events(spark, folder):
-    return pipelines.append_all(pipelines.stream_view(spark, folder, "raw_task_events"), "arrivals")
+    return runs.append_all(runs.stream_view(spark, folder, "raw_task_events"), "arrivals")
 
 
 @query(
@@ -137,9 +137,7 @@ def explode_envelopes(spark, folder):
 )
 def intact_envelopes(spark, folder):
     """The whole-envelope form of quarantine, which streams use."""
-    cut = E.intact_prefix(view(spark, folder, "envelopes"))
-    kept = F.size(F.from_json("body", "array<string>"))
-    return cut.select("message_id", kept.alias("n_kept"), F.col("lost").alias("n_lost"))
+    return E.envelope_loss(view(spark, folder, "envelopes")).select("message_id", "n_kept", "n_lost")
 
 
 @query(

@@ -9,7 +9,7 @@ from tasklens.plans.catalog import query
 from tasklens.session import new_folder
 from tasklens.sources.readers import stream_task_events, with_instant
 from tasklens.sources.views import view
-from tasklens.streaming import pipelines as S
+from tasklens.streaming import runs as S
 
 
 def _raw(spark, folder):

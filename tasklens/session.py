@@ -17,6 +17,8 @@ _DEFAULTS = {
     # run several times faster as a chain of small ones.
     "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Checkpoint files go when the tables made of them are gone.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

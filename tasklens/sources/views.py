@@ -129,10 +129,10 @@ SELECT user_id AS batch_id, event_id, ts AS event_ts,
        CASE WHEN event_type IN ('error', 'view') THEN 'indeterminate' WHEN event_type = 'click' THEN 'failed' ELSE 'success' END AS outcome
 FROM {events}""",
     "workers": """
-SELECT s_name AS hostname, c.conf_key AS conf_key,
-       CASE c.conf_key WHEN 'task_acks_late' THEN 'false' WHEN 'task_time_limit' THEN NULL ELSE CAST(s_nationkey AS varchar(20)) END AS conf_value
-FROM {supplier} CROSS JOIN (SELECT 'task_acks_late' AS conf_key UNION ALL SELECT 'task_time_limit' UNION ALL SELECT 'worker_concurrency'
-     UNION ALL SELECT 'broker_url' UNION ALL SELECT 'result_backend') c""",
+SELECT s_name AS hostname, conf_key,
+       CASE conf_key WHEN 'task_acks_late' THEN 'false' WHEN 'task_time_limit' THEN NULL ELSE CAST(s_nationkey AS varchar(20)) END AS conf_value
+FROM (SELECT *, explode(array('task_acks_late', 'task_time_limit', 'worker_concurrency', 'broker_url', 'result_backend')) AS conf_key
+      FROM {supplier}) s""",
     "pools": """
 SELECT s_name AS hostname, s_suppkey % 9 <> 0 AS has_controller,
        CASE s_suppkey % 4 WHEN 0 THEN 'app.concurrency.prefork' WHEN 1 THEN 'prefork' WHEN 2 THEN 'solo' END AS pool,
@@ -173,11 +173,11 @@ SELECT p_partkey AS request_id, CASE WHEN p_partkey % 6 = 0 THEN '' WHEN p_partk
 FROM {part}""",
     # Source trees with one app per part; packages end where an __init__.py is missing.
     "source_files": """
-SELECT p_partkey, p_size, p_name, p_brand, f.file AS file, concat('/src/', CASE WHEN p_partkey % 3 = 0 THEN 'lib/' ELSE '' END, 'app', CAST(p_partkey AS varchar(20)), '/', f.file) AS path,
-       CASE WHEN p_partkey % 17 = 3 AND f.file = 'tasks.py' THEN CAST(2097153 AS bigint) ELSE CAST(100 + p_size AS bigint) END AS length
-FROM {part} CROSS JOIN (SELECT 'tasks.py' AS file UNION ALL SELECT 'models.py' UNION ALL SELECT 'celery.py' UNION ALL SELECT '__init__.py'
-     UNION ALL SELECT 'tasks/__init__.py' UNION ALL SELECT 'tasks/mail.py' UNION ALL SELECT 'tasks/_private.py' UNION ALL SELECT 'tasks/deep/more.py') f
-WHERE NOT (f.file = '__init__.py' AND p_partkey % 4 = 1)""",
+SELECT p_partkey, p_size, p_name, p_brand, file, concat('/src/', CASE WHEN p_partkey % 3 = 0 THEN 'lib/' ELSE '' END, 'app', CAST(p_partkey AS varchar(20)), '/', file) AS path,
+       CASE WHEN p_partkey % 17 = 3 AND file = 'tasks.py' THEN CAST(2097153 AS bigint) ELSE CAST(100 + p_size AS bigint) END AS length
+FROM (SELECT *, explode(array('tasks.py', 'models.py', 'celery.py', '__init__.py', 'tasks/__init__.py', 'tasks/mail.py', 'tasks/_private.py',
+                              'tasks/deep/more.py')) AS file FROM {part}) f
+WHERE NOT (file = '__init__.py' AND p_partkey % 4 = 1)""",
     "meta_rows": """
 SELECT p_partkey AS row_id, CAST(p_size - 10 AS double) / 32 AS sample_rate,
        CASE p_partkey % 6 WHEN 0 THEN 'critical' WHEN 1 THEN 'high' WHEN 2 THEN 'urgent' WHEN 3 THEN 'low' WHEN 4 THEN '' END AS priority
@@ -232,7 +232,8 @@ def with_views(text: str) -> str:
 
 
 def _plain(text: str) -> str:
-    """Without the braces around names, and with doubled braces single."""
+    """Without the braces around names, with doubled braces single, and with DuckDB's name for opening a list."""
+    text = text.replace("explode(array(", "unnest(list_value(")
     text = re.sub(r"(?<!\{)\{(\w+)\}(?!\})", r"\1", text)
     return text.replace("{{", "{").replace("}}", "}")
 

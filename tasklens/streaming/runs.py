@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
@@ -18,7 +18,7 @@ from pyspark.sql.types import StructType
 from tasklens import constants as K
 from tasklens.functions.names import present
 from tasklens.operators.canonical import broker_events
-from tasklens.operators.envelope import explode_envelopes, intact_prefix, mappable, route_event_types
+from tasklens.operators.envelope import explode_envelopes, mappable, route_event_types
 from tasklens.operators.naming import with_task_name
 from tasklens.operators.registry import registry_diff
 from tasklens.schemas import TABLES
@@ -70,6 +70,19 @@ def append_all(stream: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{folder}/data")
 
 
+def append_events(stream: DataFrame, path: str, checkpoint: str):
+    """Start a query that appends canonical events to ``path`` by date and kind, the layout of ``write_events``."""
+    dated = stream.withColumn("event_date", F.to_date("event_ts"))
+    return (
+        dated.writeStream.format("parquet")
+        .partitionBy("event_date", "kind")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def each_batch(
     stream: DataFrame, purpose: str, shape: Callable[[DataFrame], DataFrame], mode: str = "append"
 ) -> DataFrame:
@@ -99,7 +112,7 @@ def each_batch(
 
 def normalised(envelopes: DataFrame) -> DataFrame:
     """Envelopes (``message_id, event_ts, body``) to canonical events, as they arrive; nothing is kept between them."""
-    rows = route_event_types(explode_envelopes(intact_prefix(envelopes)).drop("poison"))
+    rows = route_event_types(explode_envelopes(envelopes, intact=True).drop("poison"))
     rows = rows.filter(mappable())
     rows = rows.withColumns(
         {"event_id": F.concat_ws(".", "message_id", "pos"), "carried_name": present(F.col("name"))}
@@ -241,30 +254,31 @@ def latest_state(events: DataFrame) -> DataFrame:
 
 
 def loss_metrics(events: DataFrame) -> DataFrame:
-    """What a stream loses, out of the metrics Spark gathers while rows pass: one row per batch with input."""
-    watched = events.observe(
-        "loss",
-        F.count("*").alias("seen"),
-        F.count_if("poison").alias("poisoned"),
-        F.count_if(~F.col("type").isin(*K.BROKER_KINDS)).alias("unrouted"),
-    )
+    """What a stream loses, one row per batch, out of the metrics Spark gathers while the batch is written."""
     spark = events.sparkSession
     folder = new_folder(spark, "loss")
+    names = ("seen", "poisoned", "unrouted")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        seen = Observation()
+        watched = batch.observe(
+            seen,
+            F.count("*").alias("seen"),
+            F.count_if("poison").alias("poisoned"),
+            F.count_if(~F.col("type").isin(*K.BROKER_KINDS)).alias("unrouted"),
+        )
+        route_event_types(watched).write.mode("overwrite").parquet(f"{folder}/data/batch_id={batch_id}")
+        counts = spark.createDataFrame([tuple(seen.get[n] for n in names)], "seen long, poisoned long, unrouted long")
+        counts.write.mode("overwrite").parquet(f"{folder}/metrics/batch_id={batch_id}")
+
     run = (
-        route_event_types(watched)
-        .writeStream.format("parquet")
-        .option("path", f"{folder}/data")
+        events.writeStream.foreachBatch(write)
         .option("checkpointLocation", f"{folder}/checkpoint")
         .trigger(availableNow=True)
         .start()
     )
     run.awaitTermination()
-    rows = [
-        (p.batchId, *(p.observedMetrics["loss"][m] for m in ("seen", "poisoned", "unrouted")))
-        for p in run.recentProgress
-        if "loss" in p.observedMetrics and p.numInputRows > 0
-    ]
-    return spark.createDataFrame(rows, "batch_id long, seen long, poisoned long, unrouted long")
+    return spark.read.parquet(f"{folder}/metrics")
 
 
 MANIFEST = "snapshot_id bigint, path string, previous_path string"

@@ -221,11 +221,13 @@ def test_envelopes(spark):
         (1, 0, "a", False), (2, 0, "b", False), (2, 1, None, True), (2, 2, "c", False), (4, 0, None, True), (5, 0, "d", False),
     ]
     by_row = E.quarantine_poison(E.explode_envelopes(df))
-    by_envelope = E.explode_envelopes(E.intact_prefix(df))
+    by_envelope = E.explode_envelopes(df, intact=True)
     kept = {(1, "a"), (2, "b"), (5, "d")}
     assert {(r.message_id, r.type) for r in by_row.collect()} == kept
     assert {(r.message_id, r.type) for r in by_envelope.collect()} == kept
     assert E.poison_cuts(E.explode_envelopes(df)).count() == 2
+    loss = {r.message_id: (r.n_kept, r.n_lost) for r in E.envelope_loss(df).collect()}
+    assert loss == {1: (1, 0), 2: (1, 2), 3: (0, 0), 4: (0, 1), 5: (1, 0)}
 
 
 def test_hosts(spark):

@@ -12,8 +12,7 @@ from tasklens.plans.catalog import canonical
 from tasklens.sources import readers
 
 TASKS = '''
-from celery import shared_task
-from app import app
+from jobs import app, shared_task
 
 @shared_task
 def plain(): ...

@@ -10,7 +10,7 @@ from tasklens.operators.naming import carry_task_name
 from tasklens.plans.catalog import canonical
 from tasklens.sources.readers import stream_task_events, with_instant
 from tasklens.sources.views import view
-from tasklens.streaming import pipelines as S
+from tasklens.streaming import runs as S
 
 
 def _in_batches(spark, sf, tmp_path, n=3):
@@ -92,3 +92,11 @@ def test_stream_and_batch_share_the_mapping(spark, sf):
     """The canonical columns are the same either way."""
     stream = S.normalised(S.stream_view(spark, sf, "envelopes"))
     assert stream.schema.names == canonical(spark, sf).schema.names
+
+
+def test_appended_events_have_the_batch_layout(spark, sf, tmp_path):
+    stream = S.normalised(S.stream_view(spark, sf, "envelopes"))
+    S.append_events(stream, str(tmp_path / "events"), str(tmp_path / "checkpoint")).awaitTermination()
+    back = spark.read.parquet(str(tmp_path / "events"))
+    assert set(back.columns) == {*canonical(spark, sf).columns, "event_date"}
+    assert {r.kind for r in back.select("kind").distinct().collect()} == {"started", "failed"}
