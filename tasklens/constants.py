@@ -130,3 +130,6 @@ TEXT_RULES = (
     ("url_credentials", r"://[^/ \t\r\n:@]+:[^/ \t\r\n@]+@", "://[REDACTED]@"),
     ("cloud_key", r"AKIA[0-9A-Z]{16}", "[REDACTED]"),
 )
+
+# A text without any of these (lower-cased) cannot match the rule; looking for them is far cheaper than the pattern.
+TEXT_STEMS = {"assignment": ("passw", "key", "secret", "token", "author")}

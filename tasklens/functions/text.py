@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -14,8 +16,10 @@ Rule = tuple[str, str, str]
 
 def scrub_text(text: Column, rules: Sequence[Rule] = K.TEXT_RULES) -> Column:
     """``text`` with every rule's matches replaced."""
-    for _name, pattern, replacement in rules:
-        text = F.regexp_replace(text, pattern, replacement)
+    for name, pattern, replacement in rules:
+        replaced = F.regexp_replace(text, pattern, replacement)
+        hints = [F.lower(text).contains(stem) for stem in K.TEXT_STEMS.get(name, ())]
+        text = F.when(reduce(or_, hints), replaced).otherwise(text) if hints else replaced
     return text
 
 

@@ -44,7 +44,8 @@ def explode_envelopes(df: DataFrame, body: str = "body", intact: bool = False) -
     """
     rows = _intact(df, body).drop("_total") if intact else df.withColumn("_elements", _elements(body))
     kept = [c for c in df.columns if c != body]
-    rows = rows.select(*kept, F.posexplode("_elements").alias("pos", "_element"))
+    # The outer form, as Spark would guard the inner one with a size filter that parses every body once more.
+    rows = rows.select(*kept, F.posexplode_outer("_elements").alias("pos", "_element")).filter("pos is not null")
     is_event = _is_event(F.col("_element"))
     parsed = rows.withColumns(
         {"_event": F.from_json(F.when(is_event, F.col("_element")), ENVELOPE_EVENT), "poison": ~is_event}

@@ -97,8 +97,8 @@ def unify_sources(spark, folder):
 @query(
     "dedupe_events",
     f"""{_BOTH},
-counted AS (SELECT *, coalesce(nullif(task_id, ''), event_id) AS t, coalesce(sum(CASE WHEN kind = 'retried' THEN 1 ELSE 0 END)
-  OVER (PARTITION BY coalesce(nullif(task_id, ''), event_id), capture ORDER BY event_ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS attempt FROM both_),
+counted AS (SELECT *, coalesce(nullif(task_id, ''), event_id) AS t, CAST(coalesce(sum(CASE WHEN kind = 'retried' THEN 1 ELSE 0 END)
+  OVER (PARTITION BY coalesce(nullif(task_id, ''), event_id), capture ORDER BY event_ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS bigint) AS attempt FROM both_),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY t, kind, attempt ORDER BY CASE WHEN (capture = 'signal') = (kind = 'received') THEN 0 ELSE 1 END, event_ts, event_id) AS r FROM counted)
 SELECT event_id, task_id, kind, attempt, event_ts, capture FROM ranked WHERE r = 1""",
 )

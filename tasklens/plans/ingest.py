@@ -103,14 +103,14 @@ def read_queue_depths(spark, folder):
 @query(
     "write_events",
     f"""WITH {named_sql()}
-SELECT CAST(event_ts AS date) AS event_date, kind, count(*) AS n, count(runtime_ms) AS n_runtimes FROM named GROUP BY 1, 2""",
+SELECT CAST(CAST(event_ts AS date) AS varchar) AS event_date, kind, count(*) AS n, count(runtime_ms) AS n_runtimes FROM named GROUP BY 1, 2""",
 )
 def write_events(spark, folder):
     path = new_folder(spark, "canonical")
     readers.write_events(canonical(spark, folder), path)
     return (
         spark.read.parquet(path)
-        .groupBy("event_date", "kind")
+        .groupBy(F.col("event_date").cast("string").alias("event_date"), "kind")
         .agg(F.count("*").alias("n"), F.count("runtime_ms").alias("n_runtimes"))
     )
 

@@ -103,7 +103,7 @@ def tag_counts(spark, folder):
     "task_tree",
     """WITH tree AS (SELECT task_id, root_task_id, 0 AS depth FROM {lineage} WHERE parent_task_id IS NULL
   UNION ALL SELECT l.task_id, l.root_task_id, t.depth + 1 FROM {lineage} l JOIN tree t ON l.parent_task_id = t.task_id)
-SELECT root_task_id, count(*) AS size, max(depth) AS depth FROM tree GROUP BY root_task_id""",
+SELECT root_task_id, count(*) AS size, CAST(max(depth) AS bigint) AS depth FROM tree GROUP BY root_task_id""",
 )
 def task_tree(spark, folder):
     return A.task_tree(view(spark, folder, "lineage"))

@@ -160,7 +160,7 @@ def revoked_flags(spark, folder):
     """SELECT position, transport, CASE lower(trim(priority_label)) WHEN 'critical' THEN CASE WHEN transport = 'redis' THEN 0 ELSE 9 END
   WHEN 'high' THEN CASE WHEN transport = 'redis' THEN 3 ELSE 6 END WHEN 'normal' THEN CASE WHEN transport = 'redis' THEN 6 ELSE 3 END
   WHEN 'low' THEN CASE WHEN transport = 'redis' THEN 9 ELSE 0 END END AS priority,
-  coalesce(transport NOT IN ('amqp', 'redis'), true) AS guessed, CASE WHEN position - 100 BETWEEN 0 AND 255 THEN position - 100 END AS raw_priority FROM {retry_requests}""",
+  coalesce(transport NOT IN ('amqp', 'redis'), true) AS guessed, CAST(CASE WHEN position - 100 BETWEEN 0 AND 255 THEN position - 100 END AS int) AS raw_priority FROM {retry_requests}""",
 )
 def priority_to_int(spark, folder):
     label, transport = F.col("priority_label"), F.col("transport")

@@ -9,8 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
-import pandas as pd
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
@@ -126,28 +125,26 @@ def normalised(envelopes: DataFrame) -> DataFrame:
 class _RememberName(StatefulProcessor):
     """Per task: the name its last named start gave it, until the task ends."""
 
-    def __init__(self, ttl_ms: int | None) -> None:
-        self._ttl_ms = ttl_ms
+    def __init__(self, ttl_ms: int | None, columns: list[str]) -> None:
+        self._ttl_ms, self._columns = ttl_ms, columns
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._name = handle.getValueState("name", "name string", self._ttl_ms)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        task = pd.concat(rows).sort_values(["event_ts", "event_id"], ignore_index=True)
-        memory = self._name.get()[0] if self._name.exists() else None
-        has_id = bool(task["uuid"].iloc[0])
-        carried = []
-        for kind, name in zip(task["kind"], task["name"], strict=True):
-            carried.append(name or memory)
-            if kind in K.TERMINAL_KINDS:
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        known = self._name.get()
+        before = memory = known[0] if known else None
+        # A task has few events in a batch, too few to gain from a frame per task.
+        for row in sorted(rows, key=lambda r: (r.event_ts, r.event_id)):
+            yield Row(**{c: row[c] for c in self._columns}, carried_name=row.name or memory)
+            if row.kind in K.TERMINAL_KINDS:
                 memory = None
-            elif kind == "started" and name and has_id:
-                memory = name
-        if memory:
+            elif row.kind == "started" and row.name and row.uuid:
+                memory = row.name
+        if memory and memory != before:
             self._name.update((memory,))
-        else:
+        elif before and not memory:
             self._name.clear()
-        yield task.assign(carried_name=pd.Series(carried, dtype=object)).drop(columns="_key", errors="ignore")
 
     def close(self) -> None: ...
 
@@ -161,8 +158,8 @@ def carry_names(events: DataFrame, ttl_hours: float | None = 24 * 7) -> DataFram
     apart = F.concat(F.lit("\x00"), F.pmod(F.xxhash64("event_id"), F.lit(4096)))
     keyed = events.withColumn("_key", F.coalesce(present(F.col("uuid")), apart))
     out = StructType.fromJson(events.schema.jsonValue()).add("carried_name", "string")
-    return keyed.groupBy("_key").transformWithStateInPandas(
-        _RememberName(None if ttl_hours is None else int(ttl_hours * 3_600_000)),
+    return keyed.groupBy("_key").transformWithState(
+        _RememberName(None if ttl_hours is None else int(ttl_hours * 3_600_000), events.columns),
         outputStructType=out,
         outputMode="Append",
         timeMode="ProcessingTime" if ttl_hours is not None else "None",
