@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tasklens.llm import bpe, language, quality
 from tasklens.llm.repeats import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,8 +29,49 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def held_out(divisor: int, remainder: int, id_col: str = "doc_id") -> Column:
+    """True for the rows that a model may not learn from: those whose crc32 of the id as text leaves the remainder."""
+    return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % divisor == remainder, F.lit(False))
+
+
+@query("op3_quality_classifier")
+def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select("doc_id", "text", held_out(5, 0).alias("held_out"))
+    labels = read(spark, folder, "labels").filter(~held_out(5, 0))
+    weights = quality.train_quality(docs, labels)
+    return quality.score_quality(docs, weights).select("doc_id", "held_out", "score", "predicted")
+
+
 @query("op4_substring_dedup")
 def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents").select("doc_id", "text")
     kept = remove_repeats(docs, plain_spaces=True)
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query("op8_language_id")
+def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select("doc_id", "text", "lang", held_out(5, 0).alias("held_out"))
+    profiles = language.learn_profiles(docs.filter(~F.col("held_out")))
+    found = language.predict_language(docs.drop("lang"), profiles)
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+def vocabulary() -> tuple[str, str]:
+    """The rank file and the pattern of the public byte-level vocabulary."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+@query("op9_byte_bpe")
+def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    path, pattern = vocabulary()
+    encoded = bpe.encode(read(spark, folder, "documents").select("doc_id", "text"), path, pattern, keep_text=False)
+    decoded = bpe.decode(encoded, path, pattern)
+    return decoded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
