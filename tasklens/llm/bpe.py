@@ -4,7 +4,8 @@ Merging pairs by rank gives, for every prefix of a piece, one last token. A sequ
 each neighbouring pair is: encoding the two tokens' bytes gives those two tokens back. That makes encoding a finite-state
 problem. A state is a set of hypotheses (last whole token, place in the trie of the token begun after it, tokens not yet
 agreed on); reading a byte moves all of them, and what all of them agree on is emitted. A hypothesis lives no longer than
-the longest token, which bounds the lookahead. States and arcs are made when first met, and dropped when too many.
+the longest token, which bounds the lookahead. States and arcs are made when first met. Once as many states are kept as
+memory is set aside for, what leaves them is simulated hypothesis by hypothesis, so rare pieces cost no states.
 """
 
 from __future__ import annotations
@@ -21,13 +22,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_STATES = 100_000
-MAX_PIECES = 150_000
-MAX_PAIRS = 500_000
+MAX_STATES = 20_000
+MAX_PIECES = 250_000
+MAX_PAIRS = 400_000
 # Pieces longer than this are read by the transducer each time.
 KEPT_PIECE_CHARS = 32
 
 _ROOT = 0
+_NEVER = 1 << 62
 
 
 class _State:
@@ -61,55 +63,87 @@ class Transducer:
                     nodes += 1
                 node = self._child[key]
             self._token[node] = rank
-        self._pairs: dict[tuple[int | None, int], bool] = {}
-        self._forget()
+        self._pairs: dict[int, bool] = {}
+        self._made_of: dict[int, tuple[int, int] | None] = {}
+        self._start = _State(((None, _ROOT, ()),))
+        self._states = {self._start.hypotheses: self._start}
 
-    def _forget(self) -> None:
-        start = _State(((None, _ROOT, ()),))
-        self._states = {start.hypotheses: start}
-        self._start = start
-
-    def merge(self, piece: bytes) -> list[int]:
-        """Merging by rank, done literally; for the few bytes of two tokens."""
+    def merge(self, piece: bytes, until: int = 1) -> list[bytes]:
+        """Merging by rank, done literally, until so many parts are left; for the few bytes of a token."""
         parts = [piece[i : i + 1] for i in range(len(piece))]
-        while len(parts) > 1:
-            rank, at = min((self.ranks.get(a + b, 1 << 62), i) for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False)))
-            if rank == 1 << 62:
+        while len(parts) > until:
+            rank, at = min((self.ranks.get(a + b, _NEVER), i) for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False)))
+            if rank == _NEVER:
                 break
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return [self.ranks[p] for p in parts]
+        return parts
+
+    def _halves(self, token: int) -> tuple[int, int] | None:
+        """The two tokens whose merge made this one; None for a single byte. A token that merging never gives is its own bytes."""
+        if token not in self._made_of:
+            parts = self.merge(self.bytes_of[token], 2)
+            self._made_of[token] = (self.ranks[parts[0]], self.ranks[parts[-1]]) if len(parts) == 2 else None
+        return self._made_of[token]
 
     def _may_follow(self, last: int | None, token: int) -> bool:
-        key = (last, token)
+        """Whether merging the bytes of two tokens gives the two back: no merge across their border comes in time."""
+        if last is None:
+            return len(self.merge(self.bytes_of[token])) == 1
+        key = last << 32 | token
         known = self._pairs.get(key)
         if known is None:
-            expected = [token] if last is None else [last, token]
-            known = self.merge(b"".join(self.bytes_of[t] for t in expected)) == expected
             if len(self._pairs) >= MAX_PAIRS:
                 self._pairs.clear()
-            self._pairs[key] = known
+            known = self._pairs[key] = self._stay_apart(last, token)
         return known
 
-    def _arc(self, state: _State, byte: int) -> tuple[tuple[int, ...], _State]:
-        alive = []
+    def _stay_apart(self, left: int, right: int) -> bool:
+        # Undo the merges next to the border, the latest first. Whenever the parts at the border could merge before the
+        # merge just undone, they would have. On a tie of ranks the leftmost merge comes first.
+        bytes_of, ranks = self.bytes_of, self.ranks
+        due_left = due_right = _NEVER
+        while True:
+            across = ranks.get(bytes_of[left] + bytes_of[right], _NEVER)
+            if across < due_left and across <= due_right and across != _NEVER:
+                return False
+            halves_left, halves_right = self._halves(left), self._halves(right)
+            if halves_left is None and halves_right is None:
+                return True
+            if halves_right is None or (halves_left is not None and left > right):
+                due_left, due_right = min(due_left, left), min(due_right, left - 1)
+                left = halves_left[1]
+            else:
+                due_left, due_right = min(due_left, right + 1), min(due_right, right)
+                right = halves_right[0]
+
+    def _arc(self, state: _State, byte: int) -> tuple[tuple[int, ...], _State] | None:
+        """The arc for a byte, made now; None if no more states may be kept."""
+        if len(self._states) >= self.max_states:
+            return None
+        alive, ended = [], None
         for last, node, out in state.hypotheses:
             node = self._child.get(node << 8 | byte)
             if node is None:
                 continue
             if node in self._inner:
                 alive.append((last, node, out))
-            token = self._token.get(node)
-            if token is not None and self._may_follow(last, token):
-                alive.append((token, _ROOT, (*out, token)))
-        agreed = os.path.commonprefix([out for _, _, out in alive])
-        n = len(agreed)
-        hypotheses = tuple(sorted(((last, node, out[n:]) for last, node, out in alive), key=repr))
+            # Each prefix has one last token only, so the first that fits is it.
+            if ended is None:
+                token = self._token.get(node)
+                if token is not None and self._may_follow(last, token):
+                    ended = (token, _ROOT, (*out, token))
+        alive.append(ended)
+        if len(alive) == 1:
+            agreed = ended[2]
+            hypotheses = ((ended[0], _ROOT, ()),)
+        else:
+            agreed = tuple(os.path.commonprefix([h[2] for h in alive]))
+            n = len(agreed)
+            hypotheses = tuple([(last, node, out[n:]) for last, node, out in alive]) if n else tuple(alive)
         following = self._states.get(hypotheses)
         if following is None:
-            if len(self._states) >= self.max_states:
-                self._forget()
             following = self._states[hypotheses] = _State(hypotheses)
-        arc = (tuple(agreed), following)
+        arc = (agreed, following)
         state.arcs[byte] = arc
         return arc
 
@@ -120,13 +154,50 @@ class Transducer:
             return [whole]
         ids: list[int] = []
         state = self._start
-        for byte in piece:
-            emitted, state = state.arcs.get(byte) or self._arc(state, byte)
+        for at, byte in enumerate(piece):
+            arc = state.arcs.get(byte) or self._arc(state, byte)
+            if arc is None:
+                return ids + self._simulate(state, piece[at:])
+            emitted, state = arc
             if emitted:
                 ids += emitted
         ids += state.final
         return ids
 
+    def _simulate(self, state: _State, rest: bytes) -> list[int]:
+        """What is emitted from a state on, without making states: for every prefix its one last token, then backwards."""
+        child, tokens, pairs, size = self._child, self._token, self._pairs, len(rest)
+        # Prefix length -> (last token, length of the prefix before it or None, tokens owed by the hypothesis it ends).
+        ends: list[tuple | None] = [None] * (size + 1)
+
+        def walk(last: int | None, node: int, at: int, before: int | None, owed: tuple) -> None:
+            while at < size:
+                node = child.get(node << 8 | rest[at])
+                if node is None:
+                    return
+                at += 1
+                if ends[at] is None:
+                    token = tokens.get(node)
+                    if token is None:
+                        continue
+                    fits = None if last is None else pairs.get(last << 32 | token)
+                    if self._may_follow(last, token) if fits is None else fits:
+                        ends[at] = (token, before, owed)
+
+        for last, node, out in state.hypotheses:
+            walk(last, node, 0, None, out)
+        for at in range(1, size):
+            if ends[at] is not None:
+                walk(ends[at][0], _ROOT, at, at, ())
+        ids: list[int] = []
+        at: int | None = size
+        while at is not None:
+            token, at, owed = ends[at]
+            ids.append(token)
+            if at is None:
+                ids.extend(reversed(owed))
+        return ids[::-1]
+
 
 class _Pieces(dict):
     """The ids of short pieces met before."""
@@ -205,8 +276,9 @@ class Codec:
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self._cut = regex.compile(pattern)
-        self.transducer = Transducer(ranks)
-        self._pieces = _Pieces(self.transducer)
+        self.ranks = ranks
+        self.bytes_of = {i: t for t, i in ranks.items()}
+        self._pieces: _Pieces | None = None
         # A token that is whole characters needs no state when none is pending.
         self._whole: dict[int, str | None] = {}
         for token, rank in ranks.items():
@@ -219,6 +291,8 @@ class Codec:
             pieces = self._cut.findall(text)
         else:
             pieces = (m.group() for m in self._cut.finditer(text))
+        if self._pieces is None:
+            self._pieces = _Pieces(Transducer(self.ranks))
         return array("I", chain.from_iterable(map(self._pieces.__getitem__, pieces)))
 
     def decode(self, ids: array) -> str:
@@ -229,7 +303,7 @@ class Codec:
 
     def decode_stream(self, ids: array) -> Iterator[str]:
         """The text as it becomes complete, id by id; an id that is not in the vocabulary is an error."""
-        machine, whole, bytes_of = Utf8Machine(), self._whole, self.transducer.bytes_of
+        machine, whole, bytes_of = Utf8Machine(), self._whole, self.bytes_of
         for i in ids:
             text = whole[i]
             if text is None or machine.pending:
