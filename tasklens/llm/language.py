@@ -7,9 +7,8 @@ profile if the language does not list it. The language with the least sum is the
 
 from __future__ import annotations
 
-import re
-from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,24 +20,85 @@ PROFILE = 400
 NO_LANGUAGE = "und"
 # Profiles of more languages than these would not be a small model any more.
 MAX_LANGUAGES = 2_000
-KEPT_WORDS = 100_000
-KEPT_GRAMS = 1 << 16
-
-_WORD = re.compile(r"[^\W\d_]+")
 _PAD = 32
+# Characters of text that are read together.
+SLICE_CHARS = 1 << 19
+# Alphabets up to this size number their n-grams directly; larger ones sort them.
+DIRECT = 128
+
 
+@lru_cache(maxsize=1)
+def _letters() -> np.ndarray:
+    return np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
 
-def word_grams(word: str) -> list[int]:
-    """The n-grams of a padded word as numbers, 21 bits a character, so that their order is that of the texts."""
-    points = [_PAD, *map(ord, word), _PAD]
-    out = [p << 42 for p in points[1:-1]]
-    out += [a << 42 | b << 21 for a, b in zip(points, points[1:], strict=False)]
-    out += [a << 42 | b << 21 | c for a, b, c in zip(points, points[1:], points[2:], strict=False)]
-    return out
 
+class Grams:
+    """The n-grams of some texts: ``of(i)`` are those of text i as indices into ``codes``, which is sorted.
+
+    A code holds up to three characters, 21 bits each, so the order of codes is the order of the n-grams. Texts are
+    lower-cased; every character that is no letter is a blank, and an n-gram is a letter, two neighbours of which one
+    is a letter, or a letter between its neighbours.
+    """
 
-def _words(text: str | None) -> Counter:
-    return Counter(_WORD.findall((text or "").lower()))
+    def __init__(self, texts: list[str]):
+        lowered = [t.lower() for t in texts]
+        edges = np.cumsum([1, *[len(t) + 1 for t in lowered]])
+        self._from, self._to = edges[:-1], edges[1:] - 1
+        points = np.frombuffer((" " + " ".join(lowered) + " ").encode("utf-32-le", "replace"), np.uint32)
+        points = np.where(_letters()[points], points, np.uint32(_PAD))
+        present = np.zeros(0x110000, bool)
+        present[points] = True
+        present[_PAD] = False
+        alphabet = np.concatenate([[_PAD], np.flatnonzero(present)])
+        number = np.zeros(0x110000, np.int32)
+        number[alphabet] = np.arange(len(alphabet))
+        x = number[points].astype(np.int64)
+        base = len(alphabet)
+        left, right = np.concatenate([[0], x[:-1]]), np.concatenate([x[1:], [0]])
+        ids = np.stack([x, base + x * base + right, base + base * base + (left * base + x) * base + right])
+        self._held = np.stack([x > 0, (x > 0) | (right > 0), x > 0])
+        self._held[1, -1] = False
+        if base <= DIRECT:
+            used = np.zeros(base + base**2 + base**3, bool)
+            used[ids[self._held]] = True
+            found = np.flatnonzero(used)
+            compact = np.zeros(len(used), np.int32)
+            compact[found] = np.arange(len(found))
+            self._ids = compact[ids]
+        else:
+            found, inverse = np.unique(ids, return_inverse=True)
+            self._ids = inverse.reshape(ids.shape)
+        self.codes = self._decoded(found, alphabet, base)
+        order = np.argsort(self.codes, kind="stable")
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        self.codes = self.codes[order]
+        self._ids = place[self._ids] if len(place) else self._ids.astype(np.int64)
+
+    @staticmethod
+    def _decoded(found: np.ndarray, alphabet: np.ndarray, base: int) -> np.ndarray:
+        two, three = found >= base, found >= base + base * base
+        rest = found - base * two - base * base * three
+        last = np.where(two, alphabet[rest % base], 0)
+        first = np.where(three, rest // (base * base), np.where(two, rest // base, rest % base))
+        middle = np.where(three, alphabet[rest // base % base], last)
+        return (alphabet[first] << 42) | (middle << 21) | np.where(three, last, 0)
+
+    def of(self, i: int) -> np.ndarray:
+        part = slice(self._from[i] - 1, self._to[i])
+        return self._ids[:, part][self._held[:, part]]
+
+
+def gram_slices(texts: list[str | None]) -> Iterator[tuple[int, int, Grams]]:
+    """(from, to, n-grams) of consecutive texts, as many at a time as make a slice; a longer text is one by itself."""
+    row = 0
+    while row < len(texts):
+        end, held = row, 0
+        while end < len(texts) and (end == row or held + len(texts[end] or "") <= SLICE_CHARS):
+            held += len(texts[end] or "")
+            end += 1
+        yield row, end, Grams([t or "" for t in texts[row:end]])
+        row = end
 
 
 def learn_profiles(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", size: int = PROFILE) -> DataFrame:
@@ -51,20 +111,23 @@ def learn_profiles(docs: DataFrame, text_col: str = "text", lang_col: str = "lan
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            by_lang: dict[str, Counter] = {}
-            for text, lang in zip(batch.column(0), batch.column(1), strict=True):
-                by_lang.setdefault(lang.as_py(), Counter()).update(_words(text.as_py()))
-            for lang, words in by_lang.items():
-                grams: Counter = Counter()
-                for word, n in words.items():
-                    for gram in word_grams(word):
-                        grams[gram] += n
+            langs = batch.column(1).to_pylist()
+            held: dict[str, tuple[list, list]] = {}
+            for row, end, grams in gram_slices(batch.column(0).to_pylist()):
+                totals: dict[str, np.ndarray] = {}
+                for i in range(row, end):
+                    own = np.bincount(grams.of(i - row), minlength=len(grams.codes))
+                    totals[langs[i]] = own + totals[langs[i]] if langs[i] in totals else own
+                for lang, total in totals.items():
+                    some = np.flatnonzero(total)
+                    codes, counts = held.setdefault(lang, ([], []))
+                    codes.append(grams.codes[some])
+                    counts.append(total[some])
+            for lang, (codes, counts) in held.items():
+                distinct, inverse = np.unique(np.concatenate(codes), return_inverse=True)
+                sums = np.bincount(inverse, np.concatenate(counts), len(distinct)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([lang] * len(grams), pa.string()),
-                        pa.array(grams.keys(), pa.int64()),
-                        pa.array(grams.values(), pa.int64()),
-                    ],
+                    [pa.array([lang] * len(distinct), pa.string()), pa.array(distinct, pa.int64()), pa.array(sums)],
                     names=["lang", "gram", "n"],
                 )
 
@@ -75,50 +138,35 @@ def learn_profiles(docs: DataFrame, text_col: str = "text", lang_col: str = "lan
 
 
 class _Ranker:
-    """Ranks the n-grams of texts and compares them with the profiles. What it keeps of words is bounded."""
+    """Ranks the n-grams of texts and compares them with the profiles."""
 
     def __init__(self, profiles: dict[str, dict[int, int]], size: int):
         self.languages = sorted(profiles)
-        self.profiles = [profiles[lang] for lang in self.languages]
         self.size = size
-        self._forget()
-
-    def _forget(self) -> None:
-        self._of_word: dict[str, np.ndarray] = {}
-        self._id: dict[int, int] = {}
-        self._code: list[int] = []
-        self._rank: list[list[int]] = []
-        self._tables = (np.zeros(0, np.int64), np.zeros((0, len(self.languages)), np.int64))
-
-    def _ids(self, word: str) -> np.ndarray:
-        ids = self._of_word.get(word)
-        if ids is None:
-            ids = np.array([self._id_of(g) for g in word_grams(word)], np.int64)
-            self._of_word[word] = ids
-        return ids
-
-    def _id_of(self, gram: int) -> int:
-        found = self._id.get(gram)
-        if found is None:
-            found = self._id[gram] = len(self._code)
-            self._code.append(gram)
-            self._rank.append([p.get(gram, 0) for p in self.profiles])
-        return found
-
-    def predict(self, text: str | None) -> tuple[str, float]:
-        words = _words(text)
-        if not words or not self.languages:
+        self.known = np.array(sorted({g for p in profiles.values() for g in p}), np.int64)
+        ranks = [[profiles[lang].get(int(g), 0) for lang in self.languages] for g in self.known]
+        # A last row for the n-grams that no profile lists.
+        self.ranks = np.array([*ranks, [0] * len(self.languages)], np.int64).reshape(-1, len(self.languages))
+
+    def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        out = []
+        for row, end, grams in gram_slices(texts):
+            at = np.searchsorted(self.known, grams.codes)
+            listed = np.append(self.known, -1)[at] == grams.codes
+            ranks = self.ranks[np.where(listed, at, len(self.known))]
+            out += [self._one(grams.of(i), ranks) for i in range(end - row)]
+        return out
+
+    def _one(self, ids: np.ndarray, ranks: np.ndarray) -> tuple[str, float]:
+        if not len(ids) or not self.languages:
             return NO_LANGUAGE, 0.0
-        if len(self._of_word) > KEPT_WORDS or len(self._code) > KEPT_GRAMS:
-            self._forget()
-        parts = [self._ids(w) for w in words]
-        weights = np.repeat(np.fromiter(words.values(), np.float64, len(words)), [len(p) for p in parts])
-        counts = np.bincount(np.concatenate(parts), weights)
+        counts = np.bincount(ids)
         held = np.flatnonzero(counts)
-        if len(self._tables[0]) < len(self._code):
-            self._tables = np.array(self._code, np.int64), np.array(self._rank, np.int64)
-        codes, ranks = self._tables
-        top = held[np.lexsort((codes[held], -counts[held]))][: self.size]
+        # Most frequent first, then the smaller n-gram: one number says both.
+        order = (counts.max() - counts[held]) * len(counts) + held
+        if len(order) > self.size:
+            order = np.partition(order, self.size)[: self.size]
+        top = np.sort(order) % len(counts)
         theirs = ranks[top]
         own = np.arange(1, len(top) + 1)[:, None]
         distance = np.where(theirs > 0, np.abs(theirs - own), self.size).sum(axis=0)
@@ -146,7 +194,7 @@ def predict_language(docs: DataFrame, profiles: DataFrame, text_col: str = "text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranker = _Ranker(sent.value, size)
         for batch in batches:
-            found = [ranker.predict(text.as_py()) for text in batch.column(0)]
+            found = ranker.predict(batch.column(0).to_pylist())
             columns = [
                 *batch.columns[1:],
                 pa.array([f[0] for f in found], pa.string()),

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tasklens.llm import bpe, language, quality
+from tasklens.llm import bpe, kneser, language, leaks, near, nearest, quality, shards, warc
 from tasklens.llm.repeats import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,21 @@ def held_out(divisor: int, remainder: int, id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % divisor == remainder, F.lit(False))
 
 
+@query("op1_lm_scoring")
+def op1_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select("doc_id", "text", held_out(7, 2).alias("held_out"))
+    scored = kneser.score(docs, kneser.learn(docs.filter(~F.col("held_out"))))
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query("op2_sharding")
+def op2_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    placed = shards.balanced_shards(read(spark, folder, "documents"), 8)
+    law = F.lit("rows").alias("law")
+    grown = F.lit(None).cast("int").alias("grown_shard")
+    return placed.select("doc_id", "size", "text_crc32", law, "shard", "slot", grown)
+
+
 @query("op3_quality_classifier")
 def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents").select("doc_id", "text", held_out(5, 0).alias("held_out"))
@@ -49,6 +64,24 @@ def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@query("op5_warc")
+def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
+    records = warc.read_archives(warc.write_archives(read(spark, folder, "pages")), with_payload=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op6_ngram_jaccard")
+def op6_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    found = near.near_components(read(spark, folder, "documents"), shingle=3, percent=90)
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
+@query("op7_decontamination")
+def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = leaks.find_leaks(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+    return found.select("doc_id", "item_id", "first_word", "n_words", "n_equal")
+
+
 @query("op8_language_id")
 def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents").select("doc_id", "text", "lang", held_out(5, 0).alias("held_out"))
@@ -75,3 +108,9 @@ def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@query("op10_nearest_neighbours")
+def op10_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = read(spark, folder, "embeddings")
+    return nearest.nearest(vectors, vectors.filter(F.col("vec_id") % 100 == 0), k=10)
