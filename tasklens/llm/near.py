@@ -9,8 +9,9 @@ Documents with equal sets of word shingles are one class; only one of each class
   so a shingle of every third document comes last and its list is not scanned.
 * Where the split lies is chosen from the histogram of set sizes, by the entries either way would make.
 
-Lists with the same members are one list. The members' sets meet in their list, block by block where it is long, and
-intersections are counted as a matrix product; what leaves a block is a spanning forest of its links, never its pairs.
+Lists with the same members are one list. Lists of a few members come down to the pairs of fitting sizes. In longer ones
+the members' sets meet block by block, and intersections are counted as a matrix product; what leaves a block is a
+spanning forest of its links, never its pairs.
 Components come from alternating star operations on those links.
 """
 
@@ -37,6 +38,10 @@ LIGHT_LIMIT = 24
 LIST_COST = 4
 # Members whose sets are compared in one task.
 BLOCK = 1_500
+# Lists up to this length are read as pairs of members.
+SHORT = 8
+BUCKET_BYTES = 16 * 1024 * 1024
+MIN_BUCKETS = 32
 
 
 class Threshold:
@@ -176,26 +181,74 @@ def _lists(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values.view(np.int64)))
 
 
-def _light_keys(light: DataFrame, threshold: Threshold) -> DataFrame:
-    """(key, id) for every fixed-size subset that a light set lists."""
+def _subset_keys(shingles: np.ndarray, threshold: Threshold) -> np.ndarray:
+    """The key of every fixed-size subset that a light set lists."""
+    parts = W.mix(shingles.view(np.uint64))
+    total = int(parts.sum())
+    keys = []
+    for size in threshold.subset_sizes(len(parts)):
+        sums = [(total - sum(map(int, c))) % 2**64 for c in combinations(parts, len(parts) - size)]
+        keys.append(W.mix((np.array(sums, np.uint64) + np.uint64(size)) ^ np.uint64(0xABCDEF)))
+    return np.concatenate(keys) if keys else np.zeros(0, np.uint64)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+_ASK, _PROBE, _KNOWN = 0, 1, 2
+
+
+def _lists_of(reps: DataFrame, threshold: Threshold, boundary: int, buckets: int) -> DataFrame:
+    """``key, id, n`` of every list entry whose key has another entry.
+
+    Entries travel packed to the bucket of their key. Entries with a twin in their own batch are known to stay and are
+    dealt by their id, so of a list, however long, a bucket gets one entry per batch to compare with.
+    """
+    # Light sets that a heavy one may link with stand in the inverted lists as well.
+    border = -(-threshold.percent * (boundary + 1) // 100)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, ids = [], []
-            for own, shingles in zip(batch.column("id").to_pylist(), batch.column("small"), strict=True):
-                parts = W.mix(np.array(shingles.as_py(), np.int64).view(np.uint64))
-                total = int(parts.sum())
-                for size in threshold.subset_sizes(len(parts)):
-                    left_out = len(parts) - size
-                    sums = [total - sum(map(int, c)) for c in combinations(parts, left_out)]
-                    hashed = np.array([s % 2**64 for s in sums], np.uint64) + np.uint64(size)
-                    keys.append(W.mix(hashed ^ np.uint64(0xABCDEF)).view(np.int64))
-                    ids += [own] * len(sums)
+            ids, sizes = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            prefixes = batch.column(2)
+            lengths = np.diff(prefixes.offsets.to_numpy())
+            owner = np.repeat(np.arange(len(ids)), lengths)
+            heavy = sizes[owner] >= border
+            keys = [prefixes.flatten().to_numpy(zero_copy_only=False).view(np.uint64)[heavy]]
+            owners = [owner[heavy]]
+            for i in np.flatnonzero(sizes <= boundary):
+                own = _subset_keys(batch.column(3)[int(i)].values.to_numpy(zero_copy_only=False), threshold)
+                keys.append(own)
+                owners.append(np.full(len(own), i))
+            key, own = np.concatenate(keys), np.concatenate(owners)
+            twin, later = W.repeats(key)
+            rows = []
+            for kind, chosen in ((_ASK, ~twin), (_PROBE, twin & ~later), (_KNOWN, twin)):
+                at = np.flatnonzero(chosen)
+                by = W.mix(ids[own[at]].view(np.uint64)) if kind == _KNOWN else key[at]
+                for bucket, i in W.split_by(W.bucket_of(by, buckets), buckets):
+                    e = at[i]
+                    body = (key[e].tobytes(), ids[own[e]].astype(np.int64).tobytes(), sizes[own[e]].astype(np.int64).tobytes())
+                    rows.append((bucket, kind, *body))
+            columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
+            kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64)), pa.array(ids, pa.int64())], names=["key", "id"]
+                [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["bucket", "kind", "keys", "ids", "sizes"]
             )
 
-    return light.select("id", "small").mapInArrow(run, "key long, id long")
+    def meet(table: pa.Table) -> pa.Table:
+        kind = np.array(table["kind"].to_pylist())
+        key, own, size = (
+            [np.frombuffer(b, t) for b in table[c].to_pylist()]
+            for c, t in (("keys", np.uint64), ("ids", np.int64), ("sizes", np.int64))
+        )
+        kind = np.repeat(kind, [len(k) for k in key])
+        key, own, size = np.concatenate(key), np.concatenate(own), np.concatenate(size)
+        stays = kind == _KNOWN
+        compared = np.flatnonzero(~stays)
+        stays[compared] = W.repeats(key[compared])[0] & (kind[compared] == _ASK)
+        return pa.table({"key": pa.array(key[stays].view(np.int64)), "id": pa.array(own[stays]), "n": pa.array(size[stays])})
+
+    packed = "bucket int, kind int, keys binary, ids binary, sizes binary"
+    dealt = reps.select("id", "n", "prefix", "small").mapInArrow(deal, packed)
+    return dealt.groupBy("bucket").applyInArrow(meet, "key long, id long, n long")
 
 
 def _links(table: pa.Table, percent: int) -> pa.Table:
@@ -291,20 +344,38 @@ def near_components(
     sizes = classes.filter(F.col("n") <= LIGHT_LIMIT).groupBy("n").count().collect()
     boundary = threshold.boundary({r["n"]: r["count"] for r in sizes})
     reps = named.join(classes, ["n", "d1", "d2"]).filter("id = rep").select("id", "n", "prefix", "small")
-    light = reps.filter(F.col("n") <= boundary)
-    # Light sets that a heavy one may link with stand in the inverted lists as well.
-    border = -(-percent * (boundary + 1) // 100)
-    heavy = reps.filter(F.col("n") >= border).select(F.explode("prefix").alias("key"), "id")
-    postings = stored(_light_keys(light, threshold).unionByName(heavy), "postings")
+    entries = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(MIN_BUCKETS, math.ceil(entries / BUCKET_BYTES))
+    postings = stored(_lists_of(reps, threshold, boundary, buckets), "postings")
 
     lists = postings.groupBy("key").agg(
         F.count("*").alias("members"),
         F.bit_xor(F.xxhash64("id")).alias("x1"),
         F.bit_xor(F.xxhash64("id", F.lit(7))).alias("x2"),
     )
-    lists = lists.filter("members > 1").groupBy("members", "x1", "x2").agg(F.min("key").alias("key"))
+    lists = lists.groupBy("members", "x1", "x2").agg(F.min("key").alias("key"))
     live = stored(postings.join(lists.select("key", "members"), "key"), "lists")
-    needed = live.select("id").distinct()
+    # Short lists come down to the pairs whose sizes allow a link, each pair once.
+    short = live.filter(F.col("members") <= SHORT).groupBy("key").agg(F.collect_list(F.struct("id", "n")).alias("m"))
+    first = short.select(F.explode("m").alias("a"), "m")
+    fits = 100 * F.least("a.n", "b.n") >= percent * F.greatest("a.n", "b.n")
+    couples = first.select("a", F.explode("m").alias("b")).filter((F.col("a.id") < F.col("b.id")) & fits)
+    couples = couples.select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
+    couples = couples.withColumn("key", F.xxhash64("a", "b"))
+    two = couples.select(
+        "key", F.explode(F.array("a", "b")).alias("id"), F.lit(0).alias("block"), F.lit(0).alias("low"), F.lit(0).alias("high")
+    )
+    # A long list is cut into blocks by a hash; each pair of blocks is one group, each block alone as well.
+    blocks = F.ceil(F.col("members") / F.lit(block)).cast("int")
+    long = live.filter(F.col("members") > SHORT)
+    placed = long.withColumns({"blocks": blocks, "block": F.pmod(F.xxhash64("id", "key"), blocks).cast("int")})
+    many = placed.select(
+        "key", "id", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    ).select(
+        "key", "id", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
+    )
+    pairs = stored(two.unionByName(many), "groups")
+    needed = pairs.select("id").distinct()
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -312,14 +383,6 @@ def near_components(
                 yield pa.RecordBatch.from_arrays([part.column("id"), _lists(shingles, first)], names=["id", "shingles"])
 
     members = texts.join(needed, "id", "left_semi").mapInArrow(sets, "id long, shingles array<long>")
-    # A long list is cut into blocks by a hash; each pair of blocks is one group, each block alone as well.
-    blocks = F.ceil(F.col("members") / F.lit(block)).cast("int")
-    placed = live.withColumns({"blocks": blocks, "block": F.pmod(F.xxhash64("id", "key"), blocks).cast("int")})
-    pairs = placed.select(
-        "key", "id", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    ).select(
-        "key", "id", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
-    )
     grouped = pairs.join(members, "id").groupBy("key", "low", "high")
     edges = grouped.applyInArrow(lambda table: _links(table, percent), "a long, b long")
     tied = components(edges)
