@@ -189,9 +189,9 @@ def _regions(batch: pa.RecordBatch, short: list[int], bloom: np.ndarray, reach:
     cut = np.ones(len(place), bool)
     cut[1:] = (text[1:] != text[:-1]) | (np.diff(place) > 2 * reach + SPAN)
     begin = np.flatnonzero(cut)
-    last = np.append(begin[1:], len(place)) - 1
+    after = np.append(begin, len(place))[1:]
     rows: dict[str, list] = {n: [] for n in ("row", "start", "tokens", "seeds", "places")}
-    for b, e in zip(begin, last + 1, strict=True):
+    for b, e in zip(begin, after, strict=True):
         t = text[b]
         low = max(words.first[t], place[b] - reach)
         high = min(words.first[t + 1], place[e - 1] + SPAN + reach)
