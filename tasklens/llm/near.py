@@ -9,7 +9,8 @@ Documents with equal sets of word shingles are one class; only one of each class
   so a shingle of every third document comes last and its list is not scanned.
 * Where the split lies is chosen from the histogram of set sizes, by the entries either way would make.
 
-Lists with the same members are one list. Lists of a few members come down to the pairs of fitting sizes. In longer ones
+Lists with the same members are one list. Lists of a few members come down to the pairs of fitting sizes that share as
+many first shingles as linked sets must. In longer ones
 the members' sets meet block by block, and intersections are counted as a matrix product; what leaves a block is a
 spanning forest of its links, never its pairs.
 Components come from alternating star operations on those links.
@@ -30,8 +31,8 @@ from tasklens.llm import words as W
 from tasklens.llm.storage import stored
 from tasklens.session import checkpointed
 
-COUNT_SLOTS = 1 << 18
-SEGMENT = 1 << 12
+COUNT_SLOTS = 1 << 22
+SEGMENT = 1 << 16
 # No set larger than this is ever light: beyond, subsets grow faster than any list.
 LIGHT_LIMIT = 24
 # What an entry of an inverted list costs, in entries of the subset lists: scanning it meets unlinked sets.
@@ -39,7 +40,9 @@ LIST_COST = 4
 # Members whose sets are compared in one task.
 BLOCK = 1_500
 # Lists up to this length are read as pairs of members.
-SHORT = 8
+SHORT = 24
+# Linked sets of at least so many shingles share so many of their first ones, as those reach that much further.
+SHARED, SHARED_FROM = 3, 10
 BUCKET_BYTES = 16 * 1024 * 1024
 MIN_BUCKETS = 32
 
@@ -58,6 +61,10 @@ class Threshold:
     def prefix(self, n: int) -> int:
         return n - -(-self.percent * n // 100) + 1
 
+    def first(self, n: np.ndarray) -> np.ndarray:
+        """How many shingles of a set of n stand in lists: linked sets share one, and of larger sets ``SHARED``."""
+        return n - -(-self.percent * n // 100) + np.where(n >= SHARED_FROM, SHARED, n > 0)
+
     def partners(self, n: int) -> range:
         return range(-(-self.percent * n // 100), 100 * n // self.percent + 1)
 
@@ -108,6 +115,11 @@ def _slices(batch: pa.RecordBatch, size: int) -> Iterator[tuple[pa.RecordBatch,
         yield part, *shingle_sets(part.column("text"), size)
 
 
+def _small(counts: np.ndarray) -> bytes:
+    most = int(counts.max())
+    return counts.astype("u1" if most < 256 else "u2" if most < 65536 else "u4" if most < 2**32 else "u8").tobytes()
+
+
 def shingle_counts(texts: DataFrame, size: int) -> np.ndarray:
     """How often shingles fall into each of a fixed number of slots, over all documents."""
     slots = np.uint64(COUNT_SLOTS - 1)
@@ -116,25 +128,25 @@ def shingle_counts(texts: DataFrame, size: int) -> np.ndarray:
         total = np.zeros(COUNT_SLOTS, np.int64)
         for batch in batches:
             for _, _, shingles in _slices(batch, size):
-                total += np.bincount((shingles & slots).astype(np.int64), minlength=COUNT_SLOTS)
+                slot, n = np.unique(shingles & slots, return_counts=True)
+                total[slot.astype(np.int64)] += n
         parts = total.reshape(-1, SEGMENT)
         held = np.flatnonzero(parts.any(axis=1))
-        kind = np.uint32 if not len(held) or total.max() < 2**32 else np.uint64
         yield pa.RecordBatch.from_arrays(
-            [pa.array(held.astype(np.int32)), pa.array([parts[i].astype(kind).tobytes() for i in held], pa.binary())],
+            [pa.array(held.astype(np.int32)), pa.array([_small(parts[i]) for i in held], pa.binary())],
             names=["segment", "counts"],
         )
 
     def add(table: pa.Table) -> pa.Table:
         total = np.zeros(SEGMENT, np.int64)
         for body in table["counts"].to_pylist():
-            total += np.frombuffer(body, np.uint32 if len(body) == 4 * SEGMENT else np.uint64).astype(np.int64)
-        return pa.table({"segment": table["segment"][:1], "counts": pa.array([total.tobytes()], pa.binary())})
+            total += np.frombuffer(body, f"u{len(body) // SEGMENT}")
+        return pa.table({"segment": table["segment"][:1], "counts": pa.array([_small(total)], pa.binary())})
 
     parts = texts.select("text").mapInArrow(count, "segment int, counts binary")
-    out = np.zeros((COUNT_SLOTS // SEGMENT, SEGMENT), np.int64)
+    out = np.zeros((COUNT_SLOTS // SEGMENT, SEGMENT), np.uint32)
     for segment, body in parts.groupBy("segment").applyInArrow(add, "segment int, counts binary").collect():
-        out[segment] = np.frombuffer(body, np.int64)
+        out[segment] = np.minimum(np.frombuffer(body, f"u{len(body) // SEGMENT}").astype(np.uint64), 2**32 - 1)
     return out.ravel()
 
 
@@ -158,7 +170,7 @@ def _described(texts: DataFrame, size: int, threshold: Threshold, counts: np.nda
                     digests.append(pa.array(sums.view(np.int64)))
                 frequency = table[(shingles & slots).astype(np.int64)]
                 ordered = shingles[np.lexsort((shingles, frequency, owner))]
-                lengths = n - -(-threshold.percent * n // 100) + (n > 0)
+                lengths = np.minimum(n, threshold.first(n))
                 prefix, p_off = _cut(ordered, first, lengths)
                 small, s_off = _cut(shingles, first, np.where(n <= LIGHT_LIMIT, n, 0))
                 yield pa.RecordBatch.from_arrays(
@@ -215,6 +227,8 @@ def _lists_of(reps: DataFrame, threshold: Threshold, boundary: int, buckets: int
             owners = [owner[heavy]]
             for i in np.flatnonzero(sizes <= boundary):
                 own = _subset_keys(batch.column(3)[int(i)].values.to_numpy(zero_copy_only=False), threshold)
+                # One shared subset is enough; it counts as several shared shingles.
+                own = np.concatenate([W.mix(own + np.uint64(k)) for k in range(SHARED)])
                 keys.append(own)
                 owners.append(np.full(len(own), i))
             key, own = np.concatenate(keys), np.concatenate(owners)
@@ -353,15 +367,17 @@ def near_components(
         F.bit_xor(F.xxhash64("id")).alias("x1"),
         F.bit_xor(F.xxhash64("id", F.lit(7))).alias("x2"),
     )
-    lists = lists.groupBy("members", "x1", "x2").agg(F.min("key").alias("key"))
-    live = stored(postings.join(lists.select("key", "members"), "key"), "lists")
+    lists = lists.groupBy("members", "x1", "x2").agg(F.min("key").alias("key"), F.count("*").alias("alike"))
+    live = stored(postings.join(lists.select("key", "members", "alike"), "key"), "lists")
     # Short lists come down to the pairs whose sizes allow a link, each pair once.
-    short = live.filter(F.col("members") <= SHORT).groupBy("key").agg(F.collect_list(F.struct("id", "n")).alias("m"))
-    first = short.select(F.explode("m").alias("a"), "m")
+    short = live.filter(F.col("members") <= SHORT).groupBy("key", "alike").agg(F.collect_list(F.struct("id", "n")).alias("m"))
+    first = short.select(F.explode("m").alias("a"), "m", "alike")
     fits = 100 * F.least("a.n", "b.n") >= percent * F.greatest("a.n", "b.n")
-    couples = first.select("a", F.explode("m").alias("b")).filter((F.col("a.id") < F.col("b.id")) & fits)
-    couples = couples.select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
-    couples = couples.withColumn("key", F.xxhash64("a", "b"))
+    couples = first.select("a", F.explode("m").alias("b"), "alike").filter((F.col("a.id") < F.col("b.id")) & fits)
+    # A pair that shares a long list is compared there. One that does not shares all its lists here.
+    least = F.when(F.least("a.n", "b.n") >= SHARED_FROM, SHARED).otherwise(1)
+    couples = couples.groupBy(F.col("a.id").alias("a"), F.col("b.id").alias("b")).agg(F.sum("alike").alias("s"), F.max(least).alias("l"))
+    couples = couples.filter("s >= l").withColumn("key", F.xxhash64("a", "b"))
     two = couples.select(
         "key", F.explode(F.array("a", "b")).alias("id"), F.lit(0).alias("block"), F.lit(0).alias("low"), F.lit(0).alias("high")
     )

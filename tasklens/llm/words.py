@@ -190,6 +190,8 @@ def from_gaps(body: bytes, n: int) -> np.ndarray:
 
 def split_by(bucket: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
     """(bucket, indices of its entries in rising order), for the buckets that have any."""
+    if not len(bucket):
+        return
     order = np.argsort(bucket.astype(np.uint16 if buckets <= 65536 else np.uint32), kind="stable")
     held, start = np.unique(bucket[order], return_index=True)
     for i, (b, part) in enumerate(zip(held, np.split(order, start[1:]), strict=True)):
