@@ -146,7 +146,7 @@ class _Ranker:
         self.known = np.array(sorted({g for p in profiles.values() for g in p}), np.int64)
         ranks = [[profiles[lang].get(int(g), 0) for lang in self.languages] for g in self.known]
         # A last row for the n-grams that no profile lists.
-        self.ranks = np.array([*ranks, [0] * len(self.languages)], np.int64).reshape(-1, len(self.languages))
+        self.ranks = np.array([*ranks, [0] * len(self.languages)], np.int64).reshape(len(self.known) + 1, len(self.languages))
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
         out = []

@@ -31,7 +31,8 @@ def words(text: str | None, lower: bool = False) -> list[str]:
 
 
 def prose(rng: random.Random, n: int) -> str:
-    return " ".join(rng.choice("the of and rain wind stone river light dark seven Éa x1 -").split()[0] + str(rng.randint(0, 60)) for _ in range(n))
+    names = "the of and rain wind stone river light dark seven Éa x1 -".split()
+    return " ".join(rng.choice(names) + str(rng.randint(0, 60)) for _ in range(n))
 
 
 @pytest.fixture(scope="module")
