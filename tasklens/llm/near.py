@@ -285,7 +285,7 @@ def _links(table: pa.Table, percent: int) -> pa.Table:
     width = int(column.max()) + 1 if len(column) else 0
     inside = np.zeros((len(ids), len(ids)), np.float32)
     # Some columns at a time keep the matrix small.
-    step = max(1, (16 << 20) // (4 * max(1, len(ids))))
+    step = max(1, min(width, (16 << 20) // (4 * max(1, len(ids)))))
     for low in range(0, width, step):
         a, b = np.searchsorted(column, (low, min(width, low + step)))
         part = np.zeros((len(ids), step), np.float32)
