@@ -89,7 +89,7 @@ SELECT concat('app.tasks.t', CAST(p_partkey AS varchar(20))) AS task_name,
        CASE p_size % 5 WHEN 0 THEN 'critical' WHEN 1 THEN 'high' WHEN 2 THEN 'normal' WHEN 3 THEN 'low' END AS priority,
        CAST(p_size * 1000 AS bigint) AS expected_duration_ms, CAST(p_size * 5000 AS bigint) AS deadline_ms,
        lower(p_type) AS tag, p_size % 7 = 0 AS skip, p_size / 50.0 AS sample_rate, p_size % 3 = 0 AS redact_result
-FROM {part} WHERE p_partkey < 18""",
+FROM {part}""",
     "result_backend": """
 SELECT CAST(o_orderkey AS varchar(20)) AS task_id,
        CASE WHEN o_orderkey % 7 <> 0 THEN concat('app.tasks.t', CAST(o_custkey % 20 AS varchar(20))) END AS name,
