@@ -165,51 +165,68 @@ class Transducer:
         return ids
 
     def _simulate(self, state: _State, rest: bytes) -> list[int]:
-        """What is emitted from a state on, without making states: for every prefix its one last token, then backwards."""
+        """What is emitted from a state on, without making states: its hypotheses one by one, the longest token first.
+
+        Each prefix has one last token, so a prefix is gone on from once only; where that fails it is never tried again.
+        """
         child, tokens, pairs, size = self._child, self._token, self._pairs, len(rest)
-        # Prefix length -> (last token, length of the prefix before it or None, tokens owed by the hypothesis it ends).
-        ends: list[tuple | None] = [None] * (size + 1)
 
-        def walk(last: int | None, node: int, at: int, before: int | None, owed: tuple) -> None:
+        def ahead(node: int, at: int) -> list[tuple[int, int]]:
+            """(prefix length, token) of every token that ends after ``at``, shortest first."""
+            found = []
             while at < size:
                 node = child.get(node << 8 | rest[at])
                 if node is None:
-                    return
+                    break
                 at += 1
-                if ends[at] is None:
-                    token = tokens.get(node)
-                    if token is None:
-                        continue
-                    fits = None if last is None else pairs.get(last << 32 | token)
-                    if self._may_follow(last, token) if fits is None else fits:
-                        ends[at] = (token, before, owed)
-
-        for last, node, out in state.hypotheses:
-            walk(last, node, 0, None, out)
-        for at in range(1, size):
-            if ends[at] is not None:
-                walk(ends[at][0], _ROOT, at, at, ())
-        ids: list[int] = []
-        at: int | None = size
-        while at is not None:
-            token, at, owed = ends[at]
-            ids.append(token)
-            if at is None:
-                ids.extend(reversed(owed))
-        return ids[::-1]
+                token = tokens.get(node)
+                if token is not None:
+                    found.append((at, token))
+            return found
+
+        tried: set[int] = set()
+        for first, node, owed in state.hypotheses:
+            path, last = [], [first]
+            open_ends = [ahead(node, 0)]
+            while open_ends:
+                ends = open_ends[-1]
+                if not ends:
+                    open_ends.pop()
+                    last.pop()
+                    if path:
+                        path.pop()
+                    continue
+                at, token = ends.pop()
+                if at in tried:
+                    continue
+                before = last[-1]
+                fits = None if before is None else pairs.get(before << 32 | token)
+                if not (self._may_follow(before, token) if fits is None else fits):
+                    continue
+                path.append(token)
+                if at == size:
+                    return [*owed, *path]
+                tried.add(at)
+                last.append(token)
+                open_ends.append(ahead(_ROOT, at))
+        raise ValueError("a byte that is no token of the vocabulary")
 
 
 class _Pieces(dict):
-    """The ids of short pieces met before."""
+    """The ids of short pieces met before. When full, it becomes the older half, whose pieces stay if they are met again."""
 
     def __init__(self, transducer: Transducer):
         super().__init__()
         self.transducer = transducer
+        self._older: dict[str, tuple[int, ...]] = {}
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
-        ids = tuple(self.transducer.encode(piece.encode()))
+        ids = self._older.get(piece)
+        if ids is None:
+            ids = tuple(self.transducer.encode(piece.encode()))
         if len(piece) <= KEPT_PIECE_CHARS:
             if len(self) >= MAX_PIECES:
+                self._older = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
