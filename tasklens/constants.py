@@ -120,11 +120,11 @@ SENSITIVE_KEYS = (
 TEXT_RULES = (
     (
         "assignment",
-        # password, passwd, private_key, secret, token, api_key, apikey, authorization; few branches, as each
-        # of them is tried at every character.
-        r"(?i)(p(?:ass(?:word|wd)|rivate_key)|secret|token|a(?:pi_?key|uthorization))"
-        r"([\"']?[ \t]*[:=][ \t]*[\"']?)[^ \t\r\n\"',;]+",
-        "$1$2[REDACTED]",
+        # password, passwd, private_key, secret, ssn, token, api_key, apikey, authorization, credit_card; few branches, as
+        # each of them is tried at every character. A quoted value runs to its closing quote or the end of its line.
+        r"(?i)(p(?:ass(?:word|wd)|rivate_key)|s(?:ecret|sn)|token|a(?:pi_?key|uthorization)|credit_card)"
+        r"([\"']?[ \t]*[:=][ \t]*)(?:(\")[^\"\\\r\n]*(?:\\.[^\"\\\r\n]*)*|(')[^'\\\r\n]*(?:\\.[^'\\\r\n]*)*|[^ \t\r\n\"',;]+)",
+        "$1$2$3$4[REDACTED]",
     ),
     ("bearer", r"(?i)(bearer)[ \t]+[a-z0-9._~+/=-]+", "$1 [REDACTED]"),
     ("url_credentials", r"://[^/ \t\r\n:@]+:[^/ \t\r\n@]+@", "://[REDACTED]@"),
@@ -132,4 +132,4 @@ TEXT_RULES = (
 )
 
 # A text without any of these (lower-cased) cannot match the rule; looking for them is far cheaper than the pattern.
-TEXT_STEMS = {"assignment": ("passw", "key", "secret", "token", "author")}
+TEXT_STEMS = {"assignment": ("passw", "key", "secret", "token", "author", "credit_card", "ssn")}

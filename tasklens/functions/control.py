@@ -34,6 +34,13 @@ def priority_of_number(value: Column) -> Column:
     return F.when(value.between(0, 255), value).cast("int")
 
 
+def coerce_priority(raw: Column, transport: Column) -> Column:
+    """The number of a priority that is written as a whole number (0 to 255) or as a label; NULL for anything else."""
+    text = F.trim(raw.cast("string"))
+    digits = F.when(text.rlike("^[0-9]{1,9}$"), text).cast("int")
+    return F.coalesce(priority_of_number(digits), priority_of_label(text, transport))
+
+
 def priority_is_guess(label: Column, transport: Column) -> Column:
     """A label on a transport whose ordering is not known."""
     return label.isNotNull() & ~F.coalesce(transport.isin("amqp", "redis"), F.lit(False))

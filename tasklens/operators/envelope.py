@@ -15,13 +15,24 @@ from tasklens.session import estimated_bytes
 
 
 def _elements(body: str) -> Column:
-    """The texts of a body's elements: a body is one event or a list of events."""
+    """The texts of a body's elements that are objects, NULL for the others: a body is one event or a list of events.
+
+    A body that cannot be read to its end is one element that is no object. So is an empty or missing one.
+    """
     is_list = F.ltrim(F.col(body)).startswith("[")
-    return F.when(is_list, F.from_json(body, "array<string>")).otherwise(F.array(body))
+    whole = F.try_parse_json(F.col(body))
+    # The text of an element does not say whether it was an object or a text that looks like one; its type does.
+    kinds = F.transform(
+        F.try_variant_get(whole, "$", "array<variant>"), lambda e: F.schema_of_variant(e).startswith("OBJECT")
+    )
+    texts = F.from_json(body, "array<string>")
+    objects = F.zip_with(texts, kinds, lambda text, is_object: F.when(is_object, text))
+    lone = F.when(F.schema_of_variant(whole).startswith("OBJECT"), F.col(body))
+    return F.when(is_list & whole.isNotNull(), objects).otherwise(F.array(lone))
 
 
 def _is_event(element: Column) -> Column:
-    return F.coalesce(F.ltrim(element).startswith("{"), F.lit(False))
+    return element.isNotNull()
 
 
 def _intact(df: DataFrame, body: str) -> DataFrame:

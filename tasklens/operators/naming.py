@@ -10,7 +10,6 @@ from tasklens.functions.names import placeholder_name, present
 from tasklens.operators.ordered import Running, running
 
 ARRIVAL = ("event_ts", "event_id")
-_SPREAD = 4096
 
 
 def carry_task_name(df: DataFrame, key_row_budget: int | None = None) -> DataFrame:
@@ -23,10 +22,10 @@ def carry_task_name(df: DataFrame, key_row_budget: int | None = None) -> DataFra
     write = F.when(named_start, F.struct(F.col("name").alias("value"))).when(
         F.col("kind").isin(*K.TERMINAL_KINDS), F.struct(F.lit(None).cast("string").alias("value"))
     )
-    # Events without a task id neither write nor read, so they are spread rather than gathered under one key.
-    apart = F.when(present(F.col("uuid")).isNull(), F.pmod(F.xxhash64("event_id"), F.lit(_SPREAD)))
-    keyed = df.withColumn("_apart", F.coalesce(apart, F.lit(-1)))
-    memory = Running("_memory", F.when(F.col("_apart") < 0, write), "last", inclusive=False)
+    # Events without a task id neither write nor read, so each is a key by itself rather than one of a hot one.
+    apart = F.when(present(F.col("uuid")).isNull(), F.xxhash64("event_id"))
+    keyed = df.withColumn("_apart", apart)
+    memory = Running("_memory", F.when(F.col("_apart").isNull(), write), "last", inclusive=False)
     out = running(keyed, ["uuid", "_apart"], ARRIVAL, [[memory]], key_row_budget)
     return out.withColumn(
         "carried_name", F.coalesce(present(F.col("name")), F.col("_memory.value"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tasklens import constants as K
-from tasklens.functions.control import eta_problem, priority_of_label
+from tasklens.functions.control import coerce_priority, eta_problem
 from tasklens.functions.names import authoritative, present
 from tasklens.functions.payload import number
 from tasklens.operators.ordered import Running, running
@@ -51,7 +51,8 @@ def retry_plan(
     """Per request: whether it can be retried, with what, and if not the first check it fails.
 
     ``requests(task_id, supplied_name, override_args, override_kwargs, eta, priority_label)`` meets ``backend``
-    (one row per ``task_id``) in one join. A bad priority refuses nothing, it is left out.
+    (one row per ``task_id``) in one join. A priority is a label or a whole number; a bad one refuses
+    nothing, it is left out.
     """
     fields = ("name", "args", "kwargs", "info_name", "info_task")
     stored = backend.select(
@@ -70,7 +71,7 @@ def retry_plan(
             args.isNull() | kwargs.isNull(), "inputs unresolved"
         ),
     )
-    priority = priority_of_label(F.col("priority_label"), transport if transport is not None else F.lit("amqp"))
+    priority = coerce_priority(F.col("priority_label"), transport if transport is not None else F.lit("amqp"))
     joined = requests.join(stored, F.col("task_id") == F.col("_task"), "left")
     decided = joined.withColumns({"_resolved": name, "_at": number(F.col("eta"))}).withColumn("_reason", reason)
     accepted = F.col("_reason").isNull()

@@ -150,7 +150,10 @@ def module_names(files: DataFrame, listing: DataFrame) -> DataFrame:
 
 
 def declared_registry(files: DataFrame, listing: DataFrame) -> DataFrame:
-    """Scanned definitions as registry rows, named by module and function."""
+    """Scanned definitions as registry rows, named by module and function.
+
+    ``file_order`` and ``seq`` give their order: by file, then by place in it.
+    """
     located = module_names(scan_definitions(files), listing)
     return located.select(
         F.concat_ws(".", "module", "function").alias("name"),
@@ -161,20 +164,24 @@ def declared_registry(files: DataFrame, listing: DataFrame) -> DataFrame:
         F.col("path").alias("declared_in"),
         F.lit(False).alias("loaded"),
         F.array().cast("array<string>").alias("tags"),
+        F.col("path").alias("file_order"),
         F.col("position").cast("bigint").alias("seq"),
     )
 
 
 def merge_registry(*sources: DataFrame) -> DataFrame:
-    """One definition per name, sorted: loaded beats declared, then the later entry (highest ``seq``) wins.
+    """One definition per name, sorted: loaded beats declared, then the later entry wins.
 
+    Later is the higher ``seq``; rows of scanned files are ordered by ``root_order`` and ``file_order`` first, where there
+    are such columns, which the result leaves out.
     The winner is an aggregate, so copies of a name are combined before they are shuffled.
     """
     rows = sources[0]
     for other in sources[1:]:
         rows = rows.unionByName(other, allowMissingColumns=True)
-    kept = [c for c in rows.columns if c != "name"]
-    winner = F.max_by(F.struct(*kept), F.struct("loaded", "seq")).alias("_winner")
+    places = [c for c in ("root_order", "file_order") if c in rows.columns]
+    kept = [c for c in rows.columns if c not in ("name", *places)]
+    winner = F.max_by(F.struct(*kept), F.struct("loaded", *places, "seq")).alias("_winner")
     return rows.groupBy("name").agg(winner).select("name", "_winner.*").orderBy("name")
 
 

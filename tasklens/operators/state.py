@@ -89,17 +89,18 @@ def worker_conf_map(conf: DataFrame) -> DataFrame:
 def worker_details(replies: dict[str, DataFrame], hostname: str | None = None) -> DataFrame:
     """One row per worker that answered any of the inspections, with each reply where there is one.
 
-    ``replies`` maps a section to ``(hostname, reply)`` tables. They are stacked and folded in one aggregate, so
-    there is one shuffle rather than one per section.
+    ``replies`` maps a section to ``(hostname, reply)`` tables; a reply may be of any type, another one in each section.
+    They are stacked, a column per section, and folded in one aggregate, so there is one shuffle rather than one per
+    section. Of several replies to one section any one is kept. A section without a table is an empty text column.
     """
     stacked = None
     for section, reply in replies.items():
-        tagged = reply.select("hostname", F.lit(section).alias("_section"), F.col("reply"))
-        stacked = tagged if stacked is None else stacked.unionByName(tagged)
+        tagged = reply.select("hostname", F.col("reply").alias(section))
+        stacked = tagged if stacked is None else stacked.unionByName(tagged, allowMissingColumns=True)
     if hostname is not None:
         stacked = stacked.filter(F.col("hostname") == hostname)
     return stacked.groupBy("hostname").agg(
-        *[F.max(F.when(F.col("_section") == s, F.col("reply"))).alias(s) for s in SECTIONS]
+        *[F.any_value(s, ignoreNulls=True).alias(s) if s in replies else F.lit(None).cast("string").alias(s) for s in SECTIONS]
     )
 
 

@@ -17,10 +17,23 @@ from tasklens.streaming import runs
 _RAW = "event_id, event_ts, message_id, pos, uuid, type, name, hostname, runtime, exception, poison"
 
 
-@query("read_task_events", f"SELECT {_RAW} FROM {{raw_task_events}}")
+# Payload fields that no kind of these events carries: what is read back must be what was written.
+_PAYLOAD = {
+    "args": "concat('[', CAST(pos AS varchar(20)), ']')",
+    "kwargs": "CASE WHEN pos % 2 = 0 THEN concat('k=', uuid) END",
+    "queue": "CASE WHEN pos < 3 THEN concat('q', CAST(pos AS varchar(20))) END",
+}
+
+
+@query(
+    "read_task_events",
+    f"SELECT {_RAW}, {', '.join(f'{value} AS {name}' for name, value in _PAYLOAD.items())}, "
+    "result, traceback, terminated, signum, expired FROM {detailed_events}",
+)
 def read_task_events(spark, folder):
     path = new_folder(spark, "events-json")
-    readers.write_json(view(spark, folder, "raw_task_events"), path)
+    rows = view(spark, folder, "detailed_events")
+    readers.write_json(rows.withColumns({name: F.expr(value) for name, value in _PAYLOAD.items()}), path)
     return readers.read_task_events(spark, path, "json")
 
 

@@ -27,7 +27,8 @@ ENVELOPE_EVENT = (
 # A lifecycle event as a row: its place in the stream plus the envelope fields.
 RAW_EVENT = (
     "event_id bigint, event_ts timestamp_ntz, message_id bigint, pos int, uuid string, type string, name string, "
-    "hostname string, runtime string, exception string, poison boolean"
+    "hostname string, runtime string, exception string, poison boolean, args string, kwargs string, queue string, "
+    "result string, traceback string, terminated boolean, signum int, expired boolean"
 )
 
 SIGNAL_REQUEST = (

@@ -134,14 +134,16 @@ class _RememberName(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         known = self._name.get()
         before = memory = known[0] if known else None
+        renewed = False
         # A task has few events in a batch, too few to gain from a frame per task.
         for row in sorted(rows, key=lambda r: (r.event_ts, r.event_id)):
             yield Row(**{c: row[c] for c in self._columns}, carried_name=row.name or memory)
             if row.kind in K.TERMINAL_KINDS:
                 memory = None
             elif row.kind == "started" and row.name and row.uuid:
-                memory = row.name
-        if memory and memory != before:
+                memory, renewed = row.name, True
+        # A start that repeats the name renews how long it is remembered.
+        if memory and renewed:
             self._name.update((memory,))
         elif before and not memory:
             self._name.clear()
@@ -153,9 +155,9 @@ def carry_names(events: DataFrame, ttl_hours: float | None = 24 * 7) -> DataFram
     """``carry_task_name`` for a stream: the remembered names are state, and expire instead of being evicted.
 
     A group is one task's rows of one batch, so its size is bounded by the source's batch limits
-    (``maxFilesPerTrigger``, ``maxBytesPerTrigger``). Rows without a task id remember nothing and are spread.
+    (``maxFilesPerTrigger``, ``maxBytesPerTrigger``). A row without a task id remembers nothing and is a group by itself.
     """
-    apart = F.concat(F.lit("\x00"), F.pmod(F.xxhash64("event_id"), F.lit(4096)))
+    apart = F.concat(F.lit("\x00"), F.col("event_id").cast("string"))
     keyed = events.withColumn("_key", F.coalesce(present(F.col("uuid")), apart))
     out = StructType.fromJson(events.schema.jsonValue()).add("carried_name", "string")
     return keyed.groupBy("_key").transformWithState(

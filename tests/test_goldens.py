@@ -103,6 +103,10 @@ def test_scrub_text(spark):
         "Authorization bearer abc.DEF-1": "Authorization bearer [REDACTED]",
         "amqp://user:pw@host/v": "amqp://[REDACTED]@host/v",
         "AKIA" + "A1" * 8: "[REDACTED]",
+        '{"password": "my secret pass", "a": 1}': '{"password": "[REDACTED]", "a": 1}',
+        '{"password": "a,b c", "b": {"ssn": "1 2", "credit_card": 4111, "n": 1}}': '{"password": "[REDACTED]", "b": {"ssn": "[REDACTED]", "credit_card": [REDACTED], "n": 1}}',
+        "{'token': 'a \\' b; c', 'd': 2}": "{'token': '[REDACTED]', 'd': 2}",
+        'secret="no end; of it': 'secret="[REDACTED]',
         "nothing here": "nothing here",
         None: None,
     }
@@ -179,6 +183,9 @@ def test_is_placeholder(spark):
 def test_priorities(spark):
     labels = [" Critical ", "high", "NORMAL", "low", "bogus", None]
     assert texts(spark, labels, C.priority_of_label(F.col("x"), F.lit("amqp"))) == [9, 6, 3, 0, None, None]
+    mixed = ["7", " 255 ", "256", "-1", "7.5", "high", "bogus", None]
+    assert texts(spark, mixed, C.coerce_priority(F.col("x"), F.lit("amqp"))) == [7, 255, None, None, None, 6, None, None]
+    assert values(spark, [(7,), (256,)], "x int", C.coerce_priority(F.col("x"), F.lit("redis"))) == [7, None]
     assert texts(spark, labels, C.priority_of_label(F.col("x"), F.lit("redis"))) == [0, 3, 6, 9, None, None]
     assert texts(spark, labels, C.priority_of_label(F.col("x"), F.lit(None).cast("string"))) == [9, 6, 3, 0, None, None]
     assert texts(spark, ["sqs", None, "amqp", "redis"], C.priority_is_guess(F.lit("low"), F.col("x"))) == [True, True, False, False]
@@ -230,6 +237,19 @@ def test_envelopes(spark):
     assert loss == {1: (1, 0), 2: (1, 2), 3: (0, 0), 4: (0, 1), 5: (1, 0)}
 
 
+def test_unreadable_envelopes(spark):
+    """Texts that look like events are none, and a body that is cut short is one poisoned row."""
+    bodies = [(1, '["{\\"type\\": \\"a\\"}", {"type": "b"}]'), (2, '[{"type": "a"}, {"ty'), (3, '[{"type": "a"},]'), (4, '{"type": "a", '), (5, ""), (6, None), (7, '[{"type": "a"}, null, [{}]]')]
+    df = spark.createDataFrame(bodies, "message_id long, body string")
+    rows = E.explode_envelopes(df).orderBy("message_id", "pos").collect()
+    assert [(r.message_id, r.pos, r.type, r.poison) for r in rows] == [
+        (1, 0, None, True), (1, 1, "b", False), (2, 0, None, True), (3, 0, None, True), (4, 0, None, True),
+        (5, 0, None, True), (6, 0, None, True), (7, 0, "a", False), (7, 1, None, True), (7, 2, None, True),
+    ]
+    loss = {r.message_id: (r.n_kept, r.n_lost) for r in E.envelope_loss(df).collect()}
+    assert loss == {1: (0, 2), 2: (0, 1), 3: (0, 1), 4: (0, 1), 5: (0, 1), 6: (0, 1), 7: (1, 2)}
+
+
 def test_hosts(spark):
     assert E.local_host(None, "  ") is None
     assert E.local_host(" a ", "b") == "a"
@@ -302,6 +322,11 @@ def test_registry(spark):
     merged = registry.merge_registry(registry.runtime_registry(loaded), declared).collect()
     assert [(r.name, r.module, r.loaded) for r in merged] == [("a", "m4", False), ("b", "m1", True)]
     assert registry.merge_registry(loaded.limit(0), declared.limit(0)).count() == 0
+    files = [("b", "/x/tasks.py", False, "/x/tasks.py", 0), ("b", "/y/tasks.py", False, "/y/tasks.py", 0), ("c", "/x/tasks.py", False, "/x/tasks.py", 3), ("c", "/y/tasks.py", False, "/y/tasks.py", 1)]
+    scanned = spark.createDataFrame(files, "name string, declared_in string, loaded boolean, file_order string, seq long")
+    winners = registry.merge_registry(scanned)
+    assert [(r.name, r.declared_in) for r in winners.collect()] == [("b", "/y/tasks.py"), ("c", "/y/tasks.py")]
+    assert "file_order" not in winners.columns
     queues = values(spark, [("q", "o"), ("", "o"), (None, ""), (None, None)], "a string, b string", registry.default_queue(F.col("a"), F.col("b")))
     assert queues == ["q", "o", None, None]
 
@@ -344,6 +369,12 @@ def test_worker_details(spark):
         ("a", "r-a", None, None), ("b", "r-b", None, None), ("c", None, None, "r-c"),
     }
     assert state.worker_details({"stats": reply("a", "b")}, "b").count() == 1
+    maps = spark.createDataFrame([("a", {"pid": 7})], "hostname string, reply map<string,int>")
+    lists = spark.createDataFrame([("a", ["t1", "t2"]), ("d", None)], "hostname string, reply array<string>")
+    typed = state.worker_details({"stats": maps, "registered": lists})
+    assert {(r.hostname, str(r.stats), str(r.registered)) for r in typed.collect()} == {
+        ("a", "{'pid': 7}", "['t1', 't2']"), ("d", "None", "None"),
+    }
 
 
 def test_recycle_limits(spark):
