@@ -24,7 +24,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tasklens.llm import words as W
@@ -45,6 +45,10 @@ SHORT = 24
 SHARED, SHARED_FROM = 3, 10
 BUCKET_BYTES = 16 * 1024 * 1024
 MIN_BUCKETS = 32
+# Bits of the table that tells which documents have to be compared; of fixed size, so it is broadcast at any.
+MEMBER_BITS = 1 << 25
+# Bits that one of Spark's bitmaps holds.
+BITMAP_BITS = 1 << 15
 
 
 class Threshold:
@@ -193,6 +197,19 @@ def _lists(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values.view(np.int64)))
 
 
+def _packed(shingles: np.ndarray, first: np.ndarray) -> pa.Array:
+    """Each group's shingles by their low 48 bits, six bytes each."""
+    body = np.ascontiguousarray(shingles.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6])
+    return pa.Array.from_buffers(pa.binary(), len(first) - 1, [None, pa.py_buffer((6 * first).astype(np.int32)), pa.py_buffer(body)])
+
+
+def _unpacked(bodies: list[bytes]) -> np.ndarray:
+    flat = np.frombuffer(b"".join(bodies), np.uint8).reshape(-1, 6)
+    wide = np.zeros((len(flat), 8), np.uint8)
+    wide[:, :6] = flat
+    return wide.view("<u8").ravel()
+
+
 def _subset_keys(shingles: np.ndarray, threshold: Threshold) -> np.ndarray:
     """The key of every fixed-size subset that a light set lists."""
     parts = W.mix(shingles.view(np.uint64))
@@ -204,6 +221,23 @@ def _subset_keys(shingles: np.ndarray, threshold: Threshold) -> np.ndarray:
     return np.concatenate(keys) if keys else np.zeros(0, np.uint64)
 
 
+def _slot() -> Column:
+    """Where an id's bit stands, from 1 on."""
+    return (F.pmod(F.xxhash64("id"), F.lit(MEMBER_BITS)) + 1).alias("slot")
+
+
+def member_bits(ids: DataFrame) -> np.ndarray:
+    """A table of ``MEMBER_BITS`` bits in which the slot of every id is set. The more ids, the more others are set with them."""
+    slots = ids.select(_slot()).distinct()
+    parts = slots.groupBy(F.bitmap_bucket_number("slot").alias("part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")
+    )
+    out = np.zeros((MEMBER_BITS // BITMAP_BITS, BITMAP_BITS // 8), np.uint8)
+    for part, bits in parts.collect():
+        out[part - 1] = np.frombuffer(bits, np.uint8)
+    return out.ravel()
+
+
 _ASK, _PROBE, _KNOWN = 0, 1, 2
 
 
@@ -270,10 +304,10 @@ def _links(table: pa.Table, percent: int) -> pa.Table:
     table = table.sort_by("id")
     ids = table["id"].to_numpy()
     block = table["block"].to_numpy()
-    offsets = np.concatenate([[0], np.cumsum([len(s) for s in table["shingles"]])])
-    flat = table["shingles"].combine_chunks().flatten().to_numpy()
-    owner = np.repeat(np.arange(len(ids)), np.diff(offsets))
-    sizes = np.diff(offsets)
+    bodies = table["shingles"].to_pylist()
+    sizes = np.array([len(b) // 6 for b in bodies], np.int64)
+    flat = _unpacked(bodies)
+    owner = np.repeat(np.arange(len(ids)), sizes)
     # A shingle of one member alone adds to no intersection.
     order = np.argsort(flat, kind="stable")
     flat, owner = flat[order], owner[order]
@@ -391,14 +425,19 @@ def near_components(
         "key", "id", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
     )
     pairs = stored(two.unionByName(many), "groups")
-    needed = pairs.select("id").distinct()
+    # Texts stay where they are; sets of the few others whose bit is set find no pair.
+    needed = texts.sparkSession.sparkContext.broadcast(member_bits(pairs))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = needed.value
         for batch in batches:
-            for part, first, shingles in _slices(batch, shingle):
-                yield pa.RecordBatch.from_arrays([part.column("id"), _lists(shingles, first)], names=["id", "shingles"])
+            at = batch.column("slot").to_numpy() - 1
+            batch = batch.filter(pa.array((bits[at >> 3] >> (at & 7) & 1).astype(bool)))
+            if batch.num_rows:
+                for part, first, shingles in _slices(batch, shingle):
+                    yield pa.RecordBatch.from_arrays([part.column("id"), _packed(shingles, first)], names=["id", "shingles"])
 
-    members = texts.join(needed, "id", "left_semi").mapInArrow(sets, "id long, shingles array<long>")
+    members = texts.select("id", "text", _slot()).mapInArrow(sets, "id long, shingles binary")
     grouped = pairs.join(members, "id").groupBy("key", "low", "high")
     edges = grouped.applyInArrow(lambda table: _links(table, percent), "a long, b long")
     tied = components(edges)
