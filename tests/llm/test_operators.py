@@ -242,6 +242,23 @@ def test_components_against_all_pairs(docs, rows, size, percent, block):
     assert {r["id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute_components(rows, size, percent)
 
 
+def test_a_bit_for_every_member(spark, nothing):
+    ids = spark.createDataFrame([(i,) for i in [3, -4, 3, 2**62, 0]], "id long")
+    bits = near.member_bits(ids)
+    at = np.array([r.slot - 1 for r in ids.select(near._slot()).collect()])
+    assert len(bits) * 8 == near.MEMBER_BITS
+    assert (bits[at >> 3] >> (at & 7) & 1).all()
+    assert int(np.unpackbits(bits).sum()) == len(set(at.tolist()))
+    assert not near.member_bits(nothing.selectExpr("doc_id AS id")).any()
+
+
+def test_packed_sets_keep_their_low_bits():
+    values = np.array([0, 1, 2**48 - 1, 2**64 - 1, 5], np.uint64)
+    packed = near._packed(values, np.array([0, 2, 2, 5]))
+    assert [len(b) for b in packed.to_pylist()] == [12, 0, 18]
+    assert near._unpacked(packed.to_pylist()).tolist() == [int(v) % 2**48 for v in values]
+
+
 def test_light_sets_against_all_pairs(spark, nothing):
     rng = random.Random(2)
     base = [f"w{k}" for k in range(14)]
