@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_STATES = 20_000
-MAX_PIECES = 250_000
+MAX_PIECES = 125_000
 MAX_PAIRS = 400_000
 # Pieces longer than this are read by the transducer each time.
 KEPT_PIECE_CHARS = 32
