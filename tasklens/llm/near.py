@@ -386,20 +386,26 @@ def near_components(
     threshold = Threshold(percent)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     counts = shingle_counts(texts, shingle)
-    described = stored(_described(texts, shingle, threshold, counts), "sets")
+    # Rows that are alike in everything are told apart by a number of their own, fixed once it is written.
+    numbered = _described(texts, shingle, threshold, counts).withColumn("row", F.monotonically_increasing_id())
+    described = stored(numbered, "sets")
     named = described.filter("id is not null and n > 0")
-    classes = named.groupBy("n", "d1", "d2").agg(F.min("id").alias("rep"))
+    repeated = bool(named.groupBy("id").count().filter("count > 1").limit(1).count())
+    least_row = F.min(F.struct("id", "row")).alias("r")
+    classes = named.groupBy("n", "d1", "d2").agg(least_row).select("n", "d1", "d2", F.col("r.id").alias("rep"), F.col("r.row").alias("rep_row"))
     sizes = classes.filter(F.col("n") <= LIGHT_LIMIT).groupBy("n").count().collect()
     boundary = threshold.boundary({r["n"]: r["count"] for r in sizes})
-    reps = named.join(classes, ["n", "d1", "d2"]).filter("id = rep").select("id", "n", "prefix", "small")
+    # One row of each class, however often its id and text are repeated.
+    reps = named.join(classes, ["n", "d1", "d2"]).filter("row = rep_row").select("id", "n", "prefix", "small")
     entries = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(MIN_BUCKETS, math.ceil(entries / BUCKET_BYTES))
     postings = stored(_lists_of(reps, threshold, boundary, buckets), "postings")
 
     lists = postings.groupBy("key").agg(
         F.count("*").alias("members"),
-        F.bit_xor(F.xxhash64("id")).alias("x1"),
-        F.bit_xor(F.xxhash64("id", F.lit(7))).alias("x2"),
+        # Sums, since an id of several texts may stand in a list more than once; of 40 bits, so that none overflows.
+        F.sum(F.shiftright(F.xxhash64("id", "n"), 24)).alias("x1"),
+        F.sum(F.shiftright(F.xxhash64("id", "n", F.lit(7)), 24)).alias("x2"),
     )
     lists = lists.groupBy("members", "x1", "x2").agg(F.min("key").alias("key"), F.count("*").alias("alike"))
     live = stored(postings.join(lists.select("key", "members", "alike"), "key"), "lists")
@@ -410,7 +416,7 @@ def near_components(
     couples = first.select("a", F.explode("m").alias("b"), "alike").filter((F.col("a.id") < F.col("b.id")) & fits)
     # A pair that shares a long list is compared there. One that does not shares all its lists here.
     least = F.when(F.least("a.n", "b.n") >= SHARED_FROM, SHARED).otherwise(1)
-    couples = couples.groupBy(F.col("a.id").alias("a"), F.col("b.id").alias("b")).agg(F.sum("alike").alias("s"), F.max(least).alias("l"))
+    couples = couples.groupBy(F.col("a.id").alias("a"), F.col("b.id").alias("b")).agg(F.sum("alike").alias("s"), F.min(least).alias("l"))
     couples = couples.filter("s >= l").withColumn("key", F.xxhash64("a", "b"))
     two = couples.select(
         "key", F.explode(F.array("a", "b")).alias("id"), F.lit(0).alias("block"), F.lit(0).alias("low"), F.lit(0).alias("high")
@@ -424,7 +430,8 @@ def near_components(
     ).select(
         "key", "id", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
     )
-    pairs = stored(two.unionByName(many), "groups")
+    met = two.unionByName(many)
+    pairs = stored(met.distinct() if repeated else met, "groups")
     # Texts stay where they are; sets of the few others whose bit is set find no pair.
     needed = texts.sparkSession.sparkContext.broadcast(member_bits(pairs))
 
@@ -438,8 +445,16 @@ def near_components(
                     yield pa.RecordBatch.from_arrays([part.column("id"), _packed(shingles, first)], names=["id", "shingles"])
 
     members = texts.select("id", "text", _slot()).mapInArrow(sets, "id long, shingles binary")
+    if repeated:
+        members = members.distinct()
     grouped = pairs.join(members, "id").groupBy("key", "low", "high")
     edges = grouped.applyInArrow(lambda table: _links(table, percent), "a long, b long")
+    if repeated:
+        # An id with several texts ties their classes.
+        owners = named.join(classes, ["n", "d1", "d2"]).select("id", "rep")
+        several = owners.groupBy("id").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).filter("low < high")
+        bound = owners.join(several, "id", "left_semi").filter("id <> rep").distinct()
+        edges = edges.unionByName(bound.select(F.col("id").alias("a"), F.col("rep").alias("b")))
     tied = components(edges)
     named_classes = classes.join(tied, classes["rep"] == tied["id"], "left").select(
         F.col("n").alias("cn"), F.col("d1").alias("c1"), F.col("d2").alias("c2"), F.coalesce("component", "rep").alias("component_id")

@@ -242,6 +242,33 @@ def test_components_against_all_pairs(docs, rows, size, percent, block):
     assert {r["id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute_components(rows, size, percent)
 
 
+def near_pairs(rng, pairs, length=40):
+    """Pairs of texts with one other word, ids 2k and 2k + 1."""
+    out = []
+    for k in range(pairs):
+        own = [f"p{k}w{j}x{rng.randint(0, 9)}" for j in range(length)]
+        out += [(2 * k, " ".join(own)), (2 * k + 1, " ".join([*own[:-1], "other"]))]
+    return out
+
+
+@pytest.mark.parametrize(("size", "percent"), [(3, 90), (5, 80)])
+def test_components_of_a_table_unioned_with_itself(spark, docs, rows, size, percent):
+    pairs = [(i + 1000, t) for i, t in near_pairs(random.Random(8), 30)]
+    table = docs.select("doc_id", "text").union(spark.createDataFrame(pairs, "doc_id long, text string"))
+    expected = brute_components([*rows, *pairs], size, percent)
+    assert sum(c != i for i, (_, c) in expected.items()) >= 30
+    got = near.near_components(table.union(table), shingle=size, percent=percent).collect()
+    assert len(got) == 2 * len(expected)
+    assert {r["id"]: (r["n_shingles"], r["component_id"]) for r in got} == expected
+    assert {(r["id"], r["component_id"]) for r in got} == {(i, c) for i, (_, c) in expected.items()}
+
+
+def test_an_id_of_several_texts_is_one_document(spark):
+    texts = [(5, "a b c"), (5, "q r s"), (1, "a b c"), (9, "q r s"), (9, "q r s")]
+    got = near.near_components(spark.createDataFrame(texts, "doc_id long, text string"), shingle=3).collect()
+    assert len(got) == 5 and {r["component_id"] for r in got} == {1}
+
+
 def test_a_bit_for_every_member(spark, nothing):
     ids = spark.createDataFrame([(i,) for i in [3, -4, 3, 2**62, 0]], "id long")
     bits = near.member_bits(ids)
