@@ -9,6 +9,8 @@ fixes how an item and a document are aligned; the words around it are then compa
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -18,9 +20,9 @@ from pyspark.sql import functions as F
 from tasklens.llm import words as W
 from tasklens.llm.storage import stored
 
-# Seven of ten words each; a single other word anywhere leaves one of them whole, as do most pairs of other words.
-MASKS = ("1101100111", "1110011011", "1011110110", "0111101101")
 SPAN = 10
+# Words that a mask skips at least.
+SKIPPED = 4
 # A leak: so many consecutive words of an item (or all, if it has fewer), of which this share is equal.
 WINDOW = 12
 SHARE = 0.8
@@ -28,6 +30,30 @@ FILTER_BITS = 1 << 25
 _PROBES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
 
+def allowed(window: int, share: float) -> int:
+    """How many other words the best span of a leaking window may hold at most."""
+    most = 0
+    for size in range(SPAN, max(window, SPAN) + 1):
+        others = size - int(np.ceil(share * size - 1e-9))
+        most = max(most, others // (size // SPAN))
+    return most
+
+
+@cache
+def masks(others: int) -> tuple[str, ...]:
+    """Masks of a span such that any ``others`` words of it are all skipped by one of them."""
+    if others >= SPAN:
+        raise ValueError("a share that leaves no word of a span")
+    skips = [frozenset(c) for c in combinations(range(SPAN), min(SPAN - 1, max(SKIPPED, others + 2)))]
+    left = {frozenset(c) for c in combinations(range(SPAN), others)}
+    chosen = []
+    while left:
+        best = max(skips, key=lambda s: sum(c <= s for c in left))
+        left = {c for c in left if not c <= best}
+        chosen.append("".join("0" if j in best else "1" for j in range(SPAN)))
+    return tuple(chosen)
+
+
 def _masked(words: W.Words, mask: str, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """Seed hashes by start, and which starts have the whole span inside one text."""
     size, span = len(words), len(mask)
@@ -42,9 +68,9 @@ def _masked(words: W.Words, mask: str, seed: int) -> tuple[np.ndarray, np.ndarra
     return out, words.left() >= span
 
 
-def _seeds(words: W.Words, short: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _seeds(words: W.Words, short: list[int], patterns: tuple[str, ...]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(start, seed) of every mask, and of the whole-item seeds of items shorter than the span."""
-    for i, mask in enumerate(MASKS):
+    for i, mask in enumerate(patterns):
         hashes, whole = _masked(words, mask, 1000 + i)
         at = np.flatnonzero(whole)
         yield at, hashes[at]
@@ -71,7 +97,7 @@ def benchmark_items(items: DataFrame, id_col: str = "item_id", text_col: str = "
     return rows.mapInArrow(run, "item_id long, tokens array<long>").filter(F.size("tokens") > 0)
 
 
-def _item_seeds(items: DataFrame) -> DataFrame:
+def _item_seeds(items: DataFrame, patterns: tuple[str, ...]) -> DataFrame:
     """``seed, item_id, pos`` of every item: all masks, or one seed of all words if it is shorter than the span."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -81,7 +107,7 @@ def _item_seeds(items: DataFrame) -> DataFrame:
                 own = np.array(tokens.as_py(), np.int64).view(np.uint64)
                 words = W.Words(np.array([0, len(own)]), own)
                 short = len(own) < SPAN
-                for at, found in [_whole_seed(words)] if short else _seeds(words, []):
+                for at, found in [_whole_seed(words)] if short else _seeds(words, [], patterns):
                     seeds.append(found)
                     places.append(at)
                     owners += [item] * len(at)
@@ -132,8 +158,9 @@ def find_leaks(
     ``text_key`` is a hash of the text that tells rows without an id, or with a repeated one, apart. Null or
     empty texts hold nothing, and items without words are held by nothing. Empty tables give an empty table.
     """
+    patterns = masks(allowed(window, share))
     items = stored(benchmark_items(benchmark, item_col, item_text), "items")
-    seeds = stored(_item_seeds(items), "item-seeds")
+    seeds = stored(_item_seeds(items, patterns), "item-seeds")
     short = [r[0] for r in items.select(F.size("tokens").alias("n")).filter(F.col("n") < SPAN).distinct().collect()]
     sent = docs.sparkSession.sparkContext.broadcast(_bloom(seeds))
     reach = max(window, SPAN)
@@ -143,7 +170,7 @@ def find_leaks(
         for batch in batches:
             for row, end in W.row_slices(batch.column(2), 1 << 20):
                 part = batch.slice(row, end - row)
-                yield _regions(part, short, bloom, reach)
+                yield _regions(part, short, patterns, bloom, reach)
 
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("text_key"), F.col(text_col).alias("t")
@@ -172,11 +199,13 @@ def find_leaks(
     )
 
 
-def _regions(batch: pa.RecordBatch, short: list[int], bloom: np.ndarray, reach: int) -> pa.RecordBatch:
+def _regions(
+    batch: pa.RecordBatch, short: list[int], patterns: tuple[str, ...], bloom: np.ndarray, reach: int
+) -> pa.RecordBatch:
     """Stretches of the texts around seeds that pass the filter; seeds near each other share a stretch."""
     words = W.hash_words(batch.column(2), lower=True)
     places, seeds = [], []
-    for at, found in _seeds(words, short):
+    for at, found in _seeds(words, short, patterns):
         keep = np.ones(len(at), bool)
         for bits in _bits(found):
             keep &= (bloom[(bits >> np.uint64(6)).astype(np.int64)] >> (bits & np.uint64(63))) & np.uint64(1) == 1

@@ -10,6 +10,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from itertools import combinations
 
 import numpy as np
 import public_tokenizers
@@ -326,6 +327,27 @@ def test_leaks_with_other_words_inside(spark, nothing):
     assert leaks.find_leaks(awkward(docs.limit(1)), benchmark).count() == 2
 
 
+@pytest.mark.parametrize(("window", "share"), [(12, 0.8), (12, 0.9), (15, 0.8)])
+def test_every_leaking_window_leaves_a_mask_whole(window, share):
+    skipped = [{j for j, bit in enumerate(m) if bit == "0"} for m in leaks.masks(leaks.allowed(window, share))]
+    for size in range(leaks.SPAN, window + 1):
+        for others in combinations(range(size), size - math.ceil(share * size - 1e-9)):
+            spans = [{o - at for o in others if 0 <= o - at < leaks.SPAN} for at in range(size - leaks.SPAN + 1)]
+            assert any(inside <= skip for inside in spans for skip in skipped), others
+
+
+@pytest.mark.parametrize("size", [10, 12])
+def test_leaks_with_any_two_other_words(spark, size):
+    rng = random.Random(9)
+    own = words(prose(rng, size))
+    rows = []
+    for i, pair in enumerate(combinations(range(size), 2)):
+        rows.append((i, " ".join(["before", *("otherwise" if k in pair else w for k, w in enumerate(own)), "after"])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = leaks.find_leaks(docs, spark.createDataFrame([(1, " ".join(own))], "item_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["first_word"], r["n_words"], r["n_equal"]) for r in got) == [(i, 1, size, size - 2) for i, _ in rows]
+
+
 # --- 8: language --------------------------------------------------------------------
 
 
