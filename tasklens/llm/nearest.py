@@ -22,7 +22,10 @@ from tasklens.llm.storage import stored
 SAMPLE = 20_000
 LIST_ROWS = 400
 MAX_LISTS = 4_096
+# Lists that a query probes at least; more, until so large a share of the nearest vectors of some queries is found.
 PROBES = 48
+RECALL = 0.99
+TRIED = 128
 # Rows of a list that one task scans.
 PART_ROWS = 4_000
 COLUMNS = 16
@@ -127,9 +130,46 @@ def _found(queries: list, ids: list, scores: list) -> pa.Table:
     )
 
 
+def probes_for(indexed: DataFrame, wanted: DataFrame, centroids: np.ndarray, k: int) -> int:
+    """How many lists hold ``RECALL`` of the ``k`` nearest rows of some queries, those compared with all rows."""
+    tried = wanted.orderBy(F.xxhash64("id"), "id").limit(TRIED).toPandas()
+    if not len(tried):
+        return PROBES
+    ids, points = tried["id"].to_numpy(), np.stack(tried["v"].to_numpy())
+    sent = indexed.sparkSession.sparkContext.broadcast((ids, points))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked, places = sent.value
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            own = batch.column(1).to_numpy()
+            d = _squares(places, _matrix(batch.column(2)))
+            d[asked[:, None] == own[None, :]] = np.inf
+            size = min(k, batch.num_rows)
+            at = np.argpartition(d, size - 1, axis=1)[:, :size]
+            query, row = np.repeat(np.arange(len(asked)), size), at.ravel()
+            near = d[query, row]
+            some = np.isfinite(near)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(query[some].astype(np.int32)), pa.array(near[some]), batch.column(0).take(pa.array(row[some]))],
+                names=["query", "d", "list"],
+            )
+
+    close = indexed.select("list", "id", "v").mapInArrow(run, "query int, d double, list int")
+    best = Win.partitionBy("query").orderBy("d", "list")
+    # At most TRIED times k rows.
+    found = close.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= k).select("query", "list").collect()
+    if not found:
+        return PROBES
+    order = np.argsort(np.argsort(_squares(points, centroids), axis=1, kind="stable"), axis=1)
+    ranks = np.sort([order[r["query"], r["list"]] for r in found])
+    return max(PROBES, int(ranks[int(np.ceil(RECALL * len(ranks))) - 1]) + 1)
+
+
 def nearest(
     vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding",
-    sample: int = SAMPLE, list_rows: int = LIST_ROWS, probes: int = PROBES, epsilon: float = EPSILON, part_rows: int = PART_ROWS,
+    sample: int = SAMPLE, list_rows: int = LIST_ROWS, probes: int | None = None, epsilon: float = EPSILON, part_rows: int = PART_ROWS,
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest vectors found for each query, by Euclidean distance.
 
@@ -139,7 +179,8 @@ def nearest(
     vectors of another length than most. Rows that repeat an id are candidates each. Empty tables give none.
 
     Centroids are fitted on at most ``sample`` vectors, every row is indexed, and each query probes ``probes`` lists of
-    about ``list_rows`` rows. Lists longer than ``part_rows`` are cut into parts by a hash of the id, so copies of
+    about ``list_rows`` rows. Unless given, that number follows the data: some queries are compared with all rows, and as
+    many lists are probed as hold ``RECALL`` of what they find, ``PROBES`` at least. Lists longer than ``part_rows`` are cut into parts by a hash of the id, so copies of
     one vector spread; each part returns its own ``k`` best.
     """
     spark = vectors.sparkSession
@@ -179,6 +220,8 @@ def nearest(
 
     schema = "list int, id long, v array<double>"
     indexed = stored(rows.mapInArrow(assign(1), schema), "lists")
+    if probes is None:
+        probes = PROBES if len(centroids) <= PROBES else probes_for(indexed, wanted, centroids, k)
     sizes = indexed.groupBy("list").count()
     # At most MAX_LISTS rows.
     parts = {r["list"]: -(-r["count"] // part_rows) for r in sizes.collect()}

@@ -444,6 +444,19 @@ def test_nearest_against_all_distances(spark):
     assert hit >= 0.95 * 300 and {r["query_id"] for r in got} == set(range(0, 3000, 100))
 
 
+def test_probes_follow_vectors_without_clusters(spark):
+    points = np.random.default_rng(12).standard_normal((6000, 64))
+    points /= np.sqrt((points * points).sum(1))[:, None]
+    table = spark.createDataFrame([(i, v) for i, v in enumerate(points.tolist())], "vec_id long, embedding array<double>")
+    got = nearest.nearest(table, table.filter("vec_id % 100 = 0"), list_rows=20).collect()
+    hit = 0
+    for q in range(0, 6000, 100):
+        d = ((points - points[q]) ** 2).sum(1)
+        d[q] = np.inf
+        hit += len({r["vec_id"] for r in got if r["query_id"] == q} & set(np.argsort(d)[:10].tolist()))
+    assert hit >= 0.95 * 600
+
+
 def test_few_candidates_and_none(spark):
     table = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0]), (2, [0.0, 2.0])], "vec_id long, embedding array<double>")
     got = nearest.nearest(table, table.filter("vec_id = 1")).collect()
