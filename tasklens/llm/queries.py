@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tasklens.llm import bpe, kneser, language, leaks, near, nearest, quality, shards, warc
+from tasklens.llm import bpe, kneser, language, leaks, near, nearest, quality, shards, simhash, warc
 from tasklens.llm.repeats import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -114,3 +114,10 @@ def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 def op10_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     vectors = read(spark, folder, "embeddings")
     return nearest.nearest(vectors, vectors.filter(F.col("vec_id") % 100 == 0), k=10)
+
+
+@query("op13_simhash")
+def op13_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.simhash_components(read(spark, folder, "documents"), shingle=3, radius=3)
+    bits = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
+    return found.select(F.col("id").alias("doc_id"), bits, "component_id")
