@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tasklens.llm import bpe, kneser, language, leaks, near, nearest, quality, shards, simhash, warc
+from tasklens.llm import bpe, kneser, language, leaks, near, nearest, phrases, quality, shards, simhash, turns, warc
 from tasklens.llm.repeats import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -116,6 +116,36 @@ def op10_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return nearest.nearest(vectors, vectors.filter(F.col("vec_id") % 100 == 0), k=10)
 
 
+@query("op11_conversation_repair")
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    repaired = turns.repaired_conversations(read(spark, folder, "conversations"))
+    return repaired.withColumnRenamed("conv", "conv_id")
+
+
+@query(
+    "op12_collocations",
+    r"""WITH t AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+pieces AS (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM t),
+words AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+grams AS (SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS phrase
+  FROM words, (VALUES (1), (2), (3), (4)) v(m)),
+counts AS (SELECT lang, m, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 30),
+totals AS (SELECT lang, sum(len(w))::bigint AS n FROM words GROUP BY lang),
+held AS (SELECT DISTINCT s.lang, s.phrase FROM counts s JOIN counts b ON s.lang = b.lang AND s.m > 1 AND b.m > s.m AND 100 * b.f >= 80 * s.f
+  AND contains(' ' || b.phrase || ' ', ' ' || s.phrase || ' ')),
+cuts AS (SELECT lang, phrase, f AS a, string_split(phrase, ' ') AS w, m, unnest(range(1, m)) AS k FROM counts WHERE m > 1),
+scored AS (SELECT c.lang, c.phrase, a, k, x.f AS l, y.f AS r, ((2000000::hugeint * a) // (x.f + y.f))::bigint AS score
+  FROM cuts c JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(w[1:k], ' ')
+  JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(w[k + 1:c.m], ' ')),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS place FROM scored) q WHERE place = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best ANTI JOIN held USING (lang, phrase))
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000""",
+)
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    found = phrases.collocations(read(spark, folder, "documents"), least=30, contained_percent=80, top=2000)
+    return found.select("lang", F.col("rank").cast("long"), "phrase", "a", "l", "r", "n", "score")
+
+
 @query("op13_simhash")
 def op13_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.simhash_components(read(spark, folder, "documents"), shingle=3, radius=3)
