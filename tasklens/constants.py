@@ -25,6 +25,9 @@ SIGNAL_KINDS = {
 
 KINDS = ("received", "started", "succeeded", "failed", "retried", "revoked")
 TERMINAL_KINDS = ("succeeded", "failed", "revoked")
+# Rows of this type tell a stream how far time has come; they are no events.
+CLOCK_TYPE = "clock"
+CLOCK = "clock"
 
 # Stored result state -> canonical state.
 CANONICAL_STATES = {

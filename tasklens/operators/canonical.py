@@ -80,6 +80,7 @@ def broker_events(df: DataFrame) -> DataFrame:
             "task_id": F.coalesce("uuid", F.lit("")),
             "kind": F.col("kind"),
             "event_ts": F.col("event_ts"),
+            "ingest_ts": _column(df, "ingest_ts", "timestamp_ntz"),
             "capture": F.lit("broker"),
             "task_name": F.col("task_name"),
             "worker": F.col("hostname"),
@@ -130,6 +131,7 @@ def signal_events(df: DataFrame, meta: DataFrame | None = None) -> DataFrame:
             "task_id": F.col("_id"),
             "kind": F.col("kind"),
             "event_ts": F.col("event_ts"),
+            "ingest_ts": _column(df, "ingest_ts", "timestamp_ntz"),
             "capture": F.lit("signal"),
             "task_name": F.col("task_name"),
             "queue": F.col("queue"),

@@ -47,8 +47,8 @@ def _intact(df: DataFrame, body: str) -> DataFrame:
     )
 
 
-def explode_envelopes(df: DataFrame, body: str = "body", intact: bool = False) -> DataFrame:
-    """One row per envelope element: its ``pos``, its fields, and ``poison`` where it is not an object.
+def explode_envelopes(df: DataFrame, body: str = "body", intact: bool = False, fields: str = ENVELOPE_EVENT) -> DataFrame:
+    """One row per envelope element: its ``pos``, its ``fields``, and ``poison`` where it is not an object.
 
     Parsing happens inside the row, so nothing is shuffled. ``intact`` cuts each envelope before its first poisoned
     element: the stateless form of ``quarantine_poison`` for envelopes that are still whole, fit for streams.
@@ -59,7 +59,7 @@ def explode_envelopes(df: DataFrame, body: str = "body", intact: bool = False) -
     rows = rows.select(*kept, F.posexplode_outer("_elements").alias("pos", "_element")).filter("pos is not null")
     is_event = _is_event(F.col("_element"))
     parsed = rows.withColumns(
-        {"_event": F.from_json(F.when(is_event, F.col("_element")), ENVELOPE_EVENT), "poison": ~is_event}
+        {"_event": F.from_json(F.when(is_event, F.col("_element")), fields), "poison": ~is_event}
     )
     return parsed.select("*", "_event.*").drop("_event", "_element")
 

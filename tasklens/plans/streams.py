@@ -4,18 +4,51 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tasklens.operators.envelope import mappable, route_event_types
-from tasklens.plans.catalog import query
-from tasklens.session import new_folder
+from tasklens.operators.envelope import route_event_types
+from tasklens.plans.catalog import cut, joined, named_sql, query, scrubbed
+from tasklens.schemas import ENVELOPE
+from tasklens.session import checkpointed, new_folder
 from tasklens.sources.readers import stream_task_events, with_instant
-from tasklens.sources.views import view
+from tasklens.sources.views import metadata, view
 from tasklens.streaming import runs as S
+from tasklens.streaming.lifecycle import arriving_events, start_lifecycle
+from tasklens.streaming.ordered import named_in_order
 
 
 def _raw(spark, folder):
     return S.stream_view(spark, folder, "raw_task_events")
 
 
+_FIELDS = ("type", "uuid", "name", "hostname", "runtime", "exception", "result", "traceback", "terminated", "signum", "expired")
+
+
+def write_envelopes(spark, folder):
+    """The raw events as envelopes in arrival order, one file per batch to come; some are delivered again a file later.
+
+    Poisoned elements are what is no event. The last file has a clock row far ahead, so that nothing waits for more.
+    """
+    rows = view(spark, folder, "arrivals")
+    seconds = (F.unix_micros(F.col("event_ts").cast("timestamp")) / 1_000_000).alias("timestamp")
+    body = F.when(F.col("poison"), F.lit("17")).otherwise(F.to_json(F.struct(*_FIELDS, seconds)))
+    messages = rows.groupBy("message_id", "file").agg(
+        F.max("event_ts").alias("ingest_ts"), F.array_sort(F.collect_list(F.struct("pos", body.alias("body")))).alias("items")
+    )
+    messages = messages.withColumn("body", F.concat(F.lit("["), F.array_join("items.body", ","), F.lit("]"))).drop("items")
+    again = messages.filter("message_id % 7 = 3").withColumn("file", F.col("file") + 1)
+    messages = checkpointed(messages.unionByName(again))
+    path = new_folder(spark, "envelopes")
+    for (i,) in messages.select("file").distinct().orderBy("file").collect():
+        # The source takes files in the order of their times.
+        messages.filter(F.col("file") == i).drop("file").coalesce(1).write.mode("append").parquet(path)
+    clock = [(-1, None, '{"type": "clock", "timestamp": 4102444800}')]
+    spark.createDataFrame(clock, ENVELOPE).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def _envelopes(spark, folder):
+    return stream_task_events(spark, write_envelopes(spark, folder), schema=ENVELOPE, maxFilesPerTrigger=1)
+
+
 def _naive(*names):
     """Instants back to plain times, as the tables have them."""
     return {n: F.col(n).cast("timestamp_ntz") for n in names}
@@ -34,20 +67,46 @@ def stream_normalise(spark, folder):
     return events.select("event_id", "task_id", "kind", "worker", "task_name", "exception_message")
 
 
+# Wider than any message or its way is long.
+_DELAY = "5 days"
+
+
 @query(
     "stream_carry_name",
-    """WITH routed AS (SELECT *, replace(type, 'task-', '') AS kind FROM {raw_task_events}
-  WHERE type IN ('task-started', 'task-succeeded', 'task-failed', 'task-retried', 'task-revoked')
-    AND NOT (type = 'task-succeeded' AND runtime IS NOT NULL AND try_cast(runtime AS double) IS NULL)),
-epochs AS (SELECT *, coalesce(sum(CASE WHEN kind IN ('succeeded', 'failed', 'revoked') THEN 1 ELSE 0 END)
-    OVER (PARTITION BY uuid ORDER BY event_ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS epoch FROM routed)
-SELECT event_id, uuid, kind, coalesce(nullif(name, ''), last_value(CASE WHEN kind = 'started' THEN nullif(name, '') END IGNORE NULLS)
-    OVER (PARTITION BY uuid, epoch ORDER BY event_ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS carried_name FROM epochs""",
+    f"WITH {named_sql('detailed_events')} SELECT message_id || '.' || pos AS event_id, uuid, kind, event_ts, name, carried_name FROM named",
 )
 def stream_carry_name(spark, folder):
-    routed = route_event_types(_raw(spark, folder))
-    good = routed.filter(mappable()).select("event_id", "event_ts", "uuid", "kind", "name")
-    return S.carried(good).select("event_id", "uuid", "kind", "carried_name")
+    """Names out of six files of disordered envelopes: what the batch gives in order."""
+    named = named_in_order(arriving_events(_envelopes(spark, folder)), _DELAY, remember=None, order=("message_id", "pos"))
+    with S.settings(spark, {"spark.sql.streaming.stateStore.providerClass": S.ROCKSDB}):
+        rows = S.append_all(named, "ordered-names").dropDuplicates(["event_id"])
+    return rows.withColumns(_naive("event_ts")).select("event_id", "uuid", "kind", "event_ts", "name", "carried_name")
+
+
+@query(
+    "stream_lifecycle",
+    rf"""WITH {named_sql('detailed_events')}, sent AS (SELECT message_id AS m, max(event_ts) AS ingest_ts FROM {{raw_task_events}} GROUP BY message_id)
+SELECT 'broker:' || message_id || '.' || pos AS event_id, uuid AS task_id, kind, event_ts, ingest_ts, n.task_name, hostname AS worker,
+  m.tag AS tags, m.priority, m.expected_duration_ms, m.deadline_ms,
+  CASE WHEN kind = 'succeeded' THEN CASE WHEN m.redact_result THEN '[REDACTED]' ELSE {scrubbed('result')} END END AS result, runtime_ms,
+  CASE WHEN kind = 'failed' THEN CASE WHEN regexp_matches(exception, '^[A-Za-z_]\w*(\.[A-Za-z_]\w*)*\(')
+    THEN regexp_extract(exception, '^(?:[A-Za-z_]\w*\.)*([A-Za-z_]\w*)\(', 1) ELSE 'Exception' END END AS exception,
+  CASE WHEN kind = 'failed' THEN coalesce(exception, 'Unknown error') END AS exception_message,
+  CASE WHEN kind = 'failed' THEN {scrubbed(cut('traceback', 4096))} END AS traceback, CASE WHEN kind = 'retried' THEN exception END AS reason,
+  CASE WHEN kind = 'revoked' THEN coalesce(terminated, false) END AS terminated, CASE WHEN kind = 'revoked' THEN signum END AS signum,
+  CASE WHEN kind = 'revoked' THEN coalesce(expired, false) END AS expired
+FROM named n JOIN sent ON message_id = sent.m LEFT JOIN {{task_meta}} m ON n.task_name = m.task_name""",
+)
+def stream_lifecycle(spark, folder):
+    """The whole way from disordered envelopes to stored events, some delivered twice, batch by batch."""
+    path = new_folder(spark, "lifecycle")
+    run = start_lifecycle(_envelopes(spark, folder), f"{path}/events", f"{path}/checkpoint", metadata(spark, folder), delay=_DELAY, remember=None)
+    run.awaitTermination()
+    events = spark.read.parquet(f"{path}/events")
+    return events.withColumn("tags", joined(F.col("tags"))).select(
+        "event_id", "task_id", "kind", "event_ts", "ingest_ts", "task_name", "worker", "tags", "priority", "expected_duration_ms",
+        "deadline_ms", "result", "runtime_ms", "exception", "exception_message", "traceback", "reason", "terminated", "signum", "expired",
+    )
 
 
 @query("stream_dedupe", "SELECT event_id, type FROM {raw_task_events}")

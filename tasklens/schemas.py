@@ -24,6 +24,11 @@ ENVELOPE_EVENT = (
     "expired boolean"
 )
 
+# The same with the producer's own clock, in seconds.
+TIMED_EVENT = f"{ENVELOPE_EVENT}, timestamp double"
+# What arrives: a body and when it did.
+ENVELOPE = "message_id bigint, ingest_ts timestamp_ntz, body string"
+
 # A lifecycle event as a row: its place in the stream plus the envelope fields.
 RAW_EVENT = (
     "event_id bigint, event_ts timestamp_ntz, message_id bigint, pos int, uuid string, type string, name string, "
@@ -49,8 +54,8 @@ TASK_META = (
 )
 
 CANONICAL_EVENT = (
-    "event_id string, engine string, task_id string, kind string, event_ts timestamp_ntz, capture string, "
-    "task_name string, queue string, worker string, tags array<string>, priority string, "
+    "event_id string, engine string, task_id string, kind string, event_ts timestamp_ntz, ingest_ts timestamp_ntz, "
+    "capture string, task_name string, queue string, worker string, tags array<string>, priority string, "
     "expected_duration_ms bigint, deadline_ms bigint, args string, kwargs string, parent_task_id string, "
     "root_task_id string, result string, runtime_ms bigint, exception string, exception_message string, "
     "traceback string, reason string, terminated boolean, signum int, expired boolean"

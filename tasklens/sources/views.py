@@ -84,6 +84,10 @@ FROM (SELECT event_id, ts AS event_ts,
              concat('{{{{"type":"task-', CASE WHEN k % 2 = 0 THEN 'started' ELSE 'failed' END, '","uuid":"', {_TASK_ID}, '","hostname":"w', CAST(k % 3 AS varchar(20)), '"}}}}') AS first_event,
              concat('{{{{"type":"task-sent","uuid":"', {_TASK_ID}, '","name":"t', CAST(k AS varchar(20)), '"}}}}') AS second_event
       {_NUMBERED}) x""",
+    # The order in which messages arrive: near their own, never quite; cut into six files.
+    "arrivals": """
+SELECT d.*, CAST(floor((message_id * 4 + message_id * 7919 % 29) * 6 / (SELECT max(event_id) + 40 FROM {events})) AS int) AS file
+FROM {detailed_events} d""",
     "task_meta": """
 SELECT concat('app.tasks.t', CAST(p_partkey AS varchar(20))) AS task_name,
        CASE p_size % 5 WHEN 0 THEN 'critical' WHEN 1 THEN 'high' WHEN 2 THEN 'normal' WHEN 3 THEN 'low' END AS priority,

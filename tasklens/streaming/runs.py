@@ -24,11 +24,11 @@ from tasklens.schemas import TABLES
 from tasklens.session import new_folder
 from tasklens.sources.views import VIEWS
 
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 @contextmanager
-def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
     """Session settings for as long as a query starts; a query keeps the ones it started with."""
     before = {k: spark.conf.get(k, None) for k in values}
     for k, v in values.items():
@@ -169,12 +169,12 @@ def carry_names(events: DataFrame, ttl_hours: float | None = 24 * 7) -> DataFram
 
 
 def carried(events: DataFrame, ttl_hours: float | None = 24 * 7) -> DataFrame:
-    settings = {
-        "spark.sql.streaming.stateStore.providerClass": _ROCKSDB,
+    values = {
+        "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
         # Expiring state asks for a next batch for ever, which a run that is to end must not grant.
         "spark.sql.streaming.noDataMicroBatches.enabled": "false",
     }
-    with _settings(events.sparkSession, settings):
+    with settings(events.sparkSession, values):
         return append_all(carry_names(events, ttl_hours), "carried")
 
 
@@ -209,7 +209,7 @@ def latest_of(updates: DataFrame, keys: tuple[str, ...]) -> DataFrame:
 def sessions(events: DataFrame, by: tuple[str, ...], gap: str, delay: str = "1 hour") -> DataFrame:
     """Closed sessions. Rows of one session are merged before the shuffle, so a busy key sends few rows."""
     merge = {"spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true"}
-    with _settings(events.sparkSession, merge):
+    with settings(events.sparkSession, merge):
         return append_all(session_counts(events, by, gap, delay), "sessions")
 
 
