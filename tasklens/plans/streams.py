@@ -77,7 +77,7 @@ _DELAY = "5 days"
 )
 def stream_carry_name(spark, folder):
     """Names out of six files of disordered envelopes: what the batch gives in order."""
-    named = named_in_order(arriving_events(_envelopes(spark, folder)), _DELAY, remember=None, order=("message_id", "pos"))
+    named = named_in_order(arriving_events(_envelopes(spark, folder)), _DELAY, "1 day", None, order=("message_id", "pos"))
     with S.settings(spark, {"spark.sql.streaming.stateStore.providerClass": S.ROCKSDB}):
         rows = S.append_all(named, "ordered-names").dropDuplicates(["event_id"])
     return rows.withColumns(_naive("event_ts")).select("event_id", "uuid", "kind", "event_ts", "name", "carried_name")
@@ -100,7 +100,7 @@ FROM named n JOIN sent ON message_id = sent.m LEFT JOIN {{task_meta}} m ON n.tas
 def stream_lifecycle(spark, folder):
     """The whole way from disordered envelopes to stored events, some delivered twice, batch by batch."""
     path = new_folder(spark, "lifecycle")
-    run = start_lifecycle(_envelopes(spark, folder), f"{path}/events", f"{path}/checkpoint", metadata(spark, folder), delay=_DELAY, remember=None)
+    run = start_lifecycle(_envelopes(spark, folder), f"{path}/events", f"{path}/checkpoint", metadata(spark, folder), delay=_DELAY, slot="1 day", remember=None)
     run.awaitTermination()
     events = spark.read.parquet(f"{path}/events")
     return events.withColumn("tags", joined(F.col("tags"))).select(

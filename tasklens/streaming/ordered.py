@@ -23,7 +23,7 @@ from tasklens import constants as K
 from tasklens.functions.names import present
 
 # Lists that a task's waiting events are dealt over, by time slot.
-RING = 8
+RING = 4
 # When a slot is settled: the event time of its rows from then on.
 SETTLED = "settled_at"
 _AT = "_at_us"
