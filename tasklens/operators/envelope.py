@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tasklens import constants as K
 from tasklens.functions.control import lookup
@@ -14,56 +15,68 @@ from tasklens.schemas import ENVELOPE_EVENT
 from tasklens.session import estimated_bytes
 
 
-def _elements(body: str) -> Column:
-    """The texts of a body's elements that are objects, NULL for the others: a body is one event or a list of events.
+def _elements(df: DataFrame, body: str) -> DataFrame:
+    """Add ``_all``: a body's elements, NULL for those that are no object. A body is one event or a list of events.
 
     A body that cannot be read to its end is one element that is no object. So is an empty or missing one.
     """
-    is_list = F.ltrim(F.col(body)).startswith("[")
-    whole = F.try_parse_json(F.col(body))
-    # The text of an element does not say whether it was an object or a text that looks like one; its type does.
-    kinds = F.transform(
-        F.try_variant_get(whole, "$", "array<variant>"), lambda e: F.schema_of_variant(e).startswith("OBJECT")
+    # One parse; the type of an element tells an object from a text that looks like one.
+    whole = F.col("_whole")
+    listed = F.try_variant_get(whole, "$", "array<variant>")
+    return (
+        df.withColumn("_whole", F.try_parse_json(F.col(body)))
+        .withColumn("_listed", F.coalesce(listed, F.array(whole)))
+        .withColumn("_all", F.transform("_listed", lambda e: F.when(_is_object(e), e)))
+        .drop("_whole", "_listed")
     )
-    texts = F.from_json(body, "array<string>")
-    objects = F.zip_with(texts, kinds, lambda text, is_object: F.when(is_object, text))
-    lone = F.when(F.schema_of_variant(whole).startswith("OBJECT"), F.col(body))
-    return F.when(is_list & whole.isNotNull(), objects).otherwise(F.array(lone))
 
 
-def _is_event(element: Column) -> Column:
-    return element.isNotNull()
+def _is_object(element: Column) -> Column:
+    return F.coalesce(F.to_json(element).startswith("{"), F.lit(False))
 
 
 def _intact(df: DataFrame, body: str) -> DataFrame:
     """Add ``_elements`` cut before the first that is no event, and ``_total``, how many there were."""
-    first_bad = F.array_position(F.transform("_all", lambda e: ~_is_event(e)), True)
+    first_bad = F.array_position(F.transform("_all", lambda e: e.isNull()), True)
     cut = F.slice("_all", F.lit(1), (F.col("_bad") - 1).cast("int"))
     return (
-        df.withColumn("_all", _elements(body))
+        _elements(df, body)
         .withColumn("_bad", first_bad)
         .withColumns({"_elements": F.when(F.col("_bad") > 0, cut).otherwise(F.col("_all")), "_total": F.size("_all")})
         .drop("_all", "_bad")
     )
 
 
+def _event(element: Column, fields: str) -> Column:
+    """An element's fields, each by itself: one of another type than it should have is NULL."""
+    return F.struct(
+        *[F.try_variant_get(element, f"$.{f.name}", f.dataType.simpleString()).alias(f.name) for f in StructType.fromDDL(fields)]
+    )
+
+
 def explode_envelopes(df: DataFrame, body: str = "body", intact: bool = False, fields: str = ENVELOPE_EVENT) -> DataFrame:
     """One row per envelope element: its ``pos``, its ``fields``, and ``poison`` where it is not an object.
 
     Parsing happens inside the row, so nothing is shuffled. ``intact`` cuts each envelope before its first poisoned
     element: the stateless form of ``quarantine_poison`` for envelopes that are still whole, fit for streams.
     """
-    rows = _intact(df, body).drop("_total") if intact else df.withColumn("_elements", _elements(body))
+    rows = _intact(df, body).drop("_total") if intact else _elements(df, body).withColumnRenamed("_all", "_elements")
     kept = [c for c in df.columns if c != body]
     # The outer form, as Spark would guard the inner one with a size filter that parses every body once more.
     rows = rows.select(*kept, F.posexplode_outer("_elements").alias("pos", "_element")).filter("pos is not null")
-    is_event = _is_event(F.col("_element"))
-    parsed = rows.withColumns(
-        {"_event": F.from_json(F.when(is_event, F.col("_element")), fields), "poison": ~is_event}
-    )
+    element = F.col("_element")
+    parsed = rows.withColumns({"_event": _event(element, fields), "poison": element.isNull()})
     return parsed.select("*", "_event.*").drop("_event", "_element")
 
 
+def intact_envelopes(df: DataFrame, body: str = "body", fields: str = ENVELOPE_EVENT) -> DataFrame:
+    """Envelopes with their ``elements`` before the first that is no event, and ``n_lost``, how many go with it."""
+    cut = _intact(df, body)
+    elements = F.transform("_elements", lambda e: _event(e, fields))
+    lost = F.col("_total") - F.size("_elements")
+    return cut.withColumns({"elements": elements, "n_lost": lost}).drop(body, "_elements", "_total")
+
+
 def envelope_loss(df: DataFrame, body: str = "body") -> DataFrame:
     """Per envelope, how many elements are kept and how many are lost to poison."""
     cut = _intact(df, body).withColumn("n_kept", F.size("_elements"))

@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from tasklens.operators.envelope import route_event_types
 from tasklens.plans.catalog import cut, joined, named_sql, query, scrubbed
-from tasklens.schemas import ENVELOPE
+from tasklens.schemas import ENVELOPE, RAW_EVENT
 from tasklens.session import checkpointed, new_folder
 from tasklens.sources.readers import stream_task_events, with_instant
 from tasklens.sources.views import metadata, view
 from tasklens.streaming import runs as S
+from tasklens.streaming.late import counted_sessions, counted_windows
 from tasklens.streaming.lifecycle import arriving_events, start_lifecycle
 from tasklens.streaming.ordered import named_in_order
 
@@ -22,10 +23,11 @@ def _raw(spark, folder):
 _FIELDS = ("type", "uuid", "name", "hostname", "runtime", "exception", "result", "traceback", "terminated", "signum", "expired")
 
 
-def write_envelopes(spark, folder):
+def write_envelopes(spark, folder, plain=False):
     """The raw events as envelopes in arrival order, one file per batch to come; some are delivered again a file later.
 
     Poisoned elements are what is no event. The last file has a clock row far ahead, so that nothing waits for more.
+    ``plain`` leaves out what is delivered again, and the clock.
     """
     rows = view(spark, folder, "arrivals")
     seconds = (F.unix_micros(F.col("event_ts").cast("timestamp")) / 1_000_000).alias("timestamp")
@@ -35,18 +37,19 @@ def write_envelopes(spark, folder):
     )
     messages = messages.withColumn("body", F.concat(F.lit("["), F.array_join("items.body", ","), F.lit("]"))).drop("items")
     again = messages.filter("message_id % 7 = 3").withColumn("file", F.col("file") + 1)
-    messages = checkpointed(messages.unionByName(again))
+    messages = checkpointed(messages if plain else messages.unionByName(again))
     path = new_folder(spark, "envelopes")
     for (i,) in messages.select("file").distinct().orderBy("file").collect():
         # The source takes files in the order of their times.
         messages.filter(F.col("file") == i).drop("file").coalesce(1).write.mode("append").parquet(path)
-    clock = [(-1, None, '{"type": "clock", "timestamp": 4102444800}')]
-    spark.createDataFrame(clock, ENVELOPE).coalesce(1).write.mode("append").parquet(path)
+    if not plain:
+        clock = [(-1, None, '{"type": "clock", "timestamp": 4102444800}')]
+        spark.createDataFrame(clock, ENVELOPE).coalesce(1).write.mode("append").parquet(path)
     return path
 
 
-def _envelopes(spark, folder):
-    return stream_task_events(spark, write_envelopes(spark, folder), schema=ENVELOPE, maxFilesPerTrigger=1)
+def _envelopes(spark, folder, plain=False):
+    return stream_task_events(spark, write_envelopes(spark, folder, plain), schema=ENVELOPE, maxFilesPerTrigger=1)
 
 
 def _naive(*names):
@@ -135,17 +138,58 @@ def stream_sliding_counts(spark, folder):
     return totals.withColumns(_naive("window_start"))
 
 
+# What a file's rows may be late for: the newest time of the files before it, less the delay.
+_MARKS = """highs AS (SELECT file, max(event_ts) AS high FROM {arrivals} GROUP BY file),
+marks AS (SELECT file, max(high) OVER (ORDER BY file ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 5 MINUTE AS watermark FROM highs),
+final AS (SELECT max(high) - INTERVAL 5 MINUTE AS last FROM highs)"""
+_LATE_WINDOWS = "coalesce(time_bucket(INTERVAL 10 MINUTE, event_ts) + INTERVAL 10 MINUTE <= watermark, false)"
+
+
+def _arrivals(spark, folder):
+    """The raw events in files, in the order in which they arrive."""
+    rows = view(spark, folder, "arrivals")
+    path = new_folder(spark, "arrivals")
+    for (i,) in rows.select("file").distinct().orderBy("file").collect():
+        rows.filter(F.col("file") == i).drop("file").coalesce(1).write.mode("append").parquet(path)
+    return with_instant(stream_task_events(spark, path, schema=RAW_EVENT, maxFilesPerTrigger=1))
+
+
+@query(
+    "stream_windows_in_time",
+    f"""WITH {_MARKS}
+SELECT time_bucket(INTERVAL 10 MINUTE, event_ts) AS window_start, hostname, type, count(*) AS n,
+  time_bucket(INTERVAL 10 MINUTE, event_ts) + INTERVAL 10 MINUTE <= (SELECT last FROM final) AS closed
+FROM {{arrivals}} JOIN marks USING (file) WHERE NOT {_LATE_WINDOWS} GROUP BY 1, 2, 3""",
+)
+def stream_windows_in_time(spark, folder):
+    counted = counted_windows(_arrivals(spark, folder), ("hostname", "type"), "10 minutes", "5 minutes")
+    return counted.counts.withColumns(_naive("window_start"))
+
+
+@query(
+    "stream_late_rows",
+    f"""WITH {_MARKS}
+SELECT event_id, event_ts, type, file AS batch_id, watermark FROM {{arrivals}} JOIN marks USING (file) WHERE {_LATE_WINDOWS}""",
+)
+def stream_late_rows(spark, folder):
+    """The rows that the counts leave out, each with the watermark that it missed."""
+    counted = counted_windows(_arrivals(spark, folder), ("hostname", "type"), "10 minutes", "5 minutes")
+    return counted.late.withColumns(_naive("event_ts", "watermark")).select("event_id", "event_ts", "type", "batch_id", "watermark")
+
+
 @query(
     "stream_session_counts",
-    """WITH marked AS (SELECT hostname, event_ts, CASE WHEN event_ts >= lag(event_ts) OVER (PARTITION BY hostname ORDER BY event_ts) + INTERVAL 20 MINUTE THEN 1 ELSE 0 END AS cut FROM {raw_task_events}),
-numbered AS (SELECT *, sum(cut) OVER (PARTITION BY hostname ORDER BY event_ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS session FROM marked),
-spans AS (SELECT hostname, min(event_ts) AS session_start, max(event_ts) + INTERVAL 20 MINUTE AS session_end, count(*) AS n FROM numbered GROUP BY hostname, session)
-SELECT session_start, session_end, hostname, n FROM spans
-WHERE session_end <= (SELECT date_trunc('millisecond', max(event_ts)) - INTERVAL 1 HOUR FROM {raw_task_events})""",
+    f"""WITH {_MARKS},
+fresh AS (SELECT * FROM {{arrivals}} JOIN marks USING (file) WHERE NOT coalesce(event_ts + INTERVAL 20 MINUTE <= watermark, false)),
+marked AS (SELECT hostname, event_ts, CASE WHEN event_ts > lag(event_ts) OVER (PARTITION BY hostname ORDER BY event_ts) + INTERVAL 20 MINUTE THEN 1 ELSE 0 END AS cut FROM fresh),
+numbered AS (SELECT *, sum(cut) OVER (PARTITION BY hostname ORDER BY event_ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS session FROM marked)
+SELECT hostname, min(event_ts) AS session_start, max(event_ts) + INTERVAL 20 MINUTE AS session_end, count(*) AS n,
+  max(event_ts) + INTERVAL 20 MINUTE <= (SELECT last FROM final) AS closed FROM numbered GROUP BY hostname, session""",
 )
 def stream_session_counts(spark, folder):
-    closed = S.sessions(with_instant(_raw(spark, folder)), ("hostname",), "20 minutes")
-    return closed.withColumns(_naive("session_start", "session_end"))
+    """All sessions of rows in time, those still open at the end among them."""
+    counted = counted_sessions(_arrivals(spark, folder), ("hostname",), "20 minutes", "5 minutes")
+    return counted.counts.withColumns(_naive("session_start", "session_end"))
 
 
 @query(
@@ -159,12 +203,18 @@ def stream_latest_state(spark, folder):
 
 @query(
     "stream_loss_metrics",
-    """SELECT count(*) AS seen, count(*) FILTER (poison) AS poisoned,
-  count(*) FILTER (type NOT IN ('task-started', 'task-succeeded', 'task-failed', 'task-retried', 'task-revoked')) AS unrouted FROM {raw_task_events}""",
+    """WITH cuts AS (SELECT message_id AS m, min(pos) AS p FROM {raw_task_events} WHERE poison GROUP BY message_id),
+placed AS (SELECT *, b.p IS NULL OR r.pos < b.p AS kept, type IN ('task-started', 'task-succeeded', 'task-failed', 'task-retried', 'task-revoked') AS routed
+  FROM {raw_task_events} r LEFT JOIN cuts b ON r.message_id = b.m)
+SELECT count(DISTINCT message_id) AS envelopes, (SELECT count(*) FROM cuts) AS poisoned, count(*) FILTER (NOT kept) AS lost,
+  count(*) FILTER (kept AND NOT routed) AS unrouted, count(*) FILTER (kept AND routed) AS written FROM placed""",
 )
 def stream_loss_metrics(spark, folder):
-    per_batch = S.loss_metrics(_raw(spark, folder))
-    return per_batch.agg(*[F.sum(c).alias(c) for c in ("seen", "poisoned", "unrouted")])
+    """What the progress of a stream of several batches tells as lost, beside what it stored."""
+    path = new_folder(spark, "routed")
+    losses = S.loss_metrics(_envelopes(spark, folder, plain=True), path)
+    written = spark.read.parquet(path).agg(F.count("*").alias("written"))
+    return losses.agg(*[F.sum(c).alias(c) for c in S.LOSSES]).join(written)
 
 
 @query(

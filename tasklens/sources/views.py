@@ -86,7 +86,7 @@ FROM (SELECT event_id, ts AS event_ts,
       {_NUMBERED}) x""",
     # The order in which messages arrive: near their own, never quite; cut into six files.
     "arrivals": """
-SELECT d.*, CAST(floor((message_id * 4 + message_id * 7919 % 29) * 6 / (SELECT max(event_id) + 40 FROM {events})) AS int) AS file
+SELECT d.*, CAST(floor((message_id * 4 + message_id * 7919 % 97) * 6 / (SELECT max(event_id) + 100 FROM {events})) AS int) AS file
 FROM {detailed_events} d""",
     "task_meta": """
 SELECT concat('app.tasks.t', CAST(p_partkey AS varchar(20))) AS task_name,

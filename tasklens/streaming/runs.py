@@ -6,18 +6,21 @@ sinks, or one folder per batch that a repeated batch replaces.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from threading import Event
 
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.listener import StreamingQueryListener
 from pyspark.sql.types import StructType
 
 from tasklens import constants as K
 from tasklens.functions.names import present
 from tasklens.operators.canonical import broker_events
-from tasklens.operators.envelope import explode_envelopes, mappable, route_event_types
+from tasklens.operators.envelope import explode_envelopes, intact_envelopes, mappable, route_event_types
 from tasklens.operators.naming import with_task_name
 from tasklens.operators.registry import registry_diff
 from tasklens.schemas import TABLES
@@ -252,32 +255,65 @@ def latest_state(events: DataFrame) -> DataFrame:
     )
 
 
-def loss_metrics(events: DataFrame) -> DataFrame:
-    """What a stream loses, one row per batch, out of the metrics Spark gathers while the batch is written."""
-    spark = events.sparkSession
-    folder = new_folder(spark, "loss")
-    names = ("seen", "poisoned", "unrouted")
+class LossListener(StreamingQueryListener):
+    """Gathers the figures that a query observes under one name, batch by batch, from its progress."""
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        seen = Observation()
-        watched = batch.observe(
-            seen,
-            F.count("*").alias("seen"),
-            F.count_if("poison").alias("poisoned"),
-            F.count_if(~F.col("type").isin(*K.BROKER_KINDS)).alias("unrouted"),
-        )
-        route_event_types(watched).write.mode("overwrite").parquet(f"{folder}/data/batch_id={batch_id}")
-        counts = spark.createDataFrame([tuple(seen.get[n] for n in names)], "seen long, poisoned long, unrouted long")
-        counts.write.mode("overwrite").parquet(f"{folder}/metrics/batch_id={batch_id}")
+    def __init__(self, name: str) -> None:
+        self.name, self.rows, self.ended = name, {}, Event()
 
-    run = (
-        events.writeStream.foreachBatch(write)
-        .option("checkpointLocation", f"{folder}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
+    def onQueryStarted(self, event) -> None: ...
+
+    def onQueryIdle(self, event) -> None: ...
+
+    def onQueryProgress(self, event) -> None:
+        figures = event.progress.observedMetrics.get(self.name)
+        if figures is not None:
+            # A batch that runs again reports again.
+            self.rows[event.progress.batchId] = figures.asDict()
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.set()
+
+
+LOSSES = ("envelopes", "poisoned", "lost", "unrouted")
+
+
+def loss_metrics(envelopes: DataFrame, path: str) -> DataFrame:
+    """Store the routed events of a stream of envelopes under ``path``; one row per batch of what was lost on the way.
+
+    ``poisoned`` counts envelopes with an element that is no event, ``lost`` the elements that go with it, and ``unrouted`` the
+    events of other types. The figures are observed where the rows pass and come with the query's progress, so counting
+    them takes no pass of its own. Nothing poisoned is stored.
+    """
+    spark = envelopes.sparkSession
+    name = f"loss_{uuid.uuid4().hex}"
+    opened = intact_envelopes(envelopes)
+    unrouted = F.size(F.filter("elements", lambda e: ~F.coalesce(e["type"].isin(*K.BROKER_KINDS), F.lit(False))))
+    watched = opened.observe(
+        name,
+        F.count("*").alias("envelopes"),
+        F.count_if(F.col("n_lost") > 0).alias("poisoned"),
+        F.coalesce(F.sum("n_lost"), F.lit(0)).alias("lost"),
+        F.coalesce(F.sum(unrouted), F.lit(0)).alias("unrouted"),
     )
-    run.awaitTermination()
-    return spark.read.parquet(f"{folder}/metrics")
+    rows = watched.select("*", F.posexplode("elements").alias("pos", "event")).drop("elements", "n_lost").select("*", "event.*").drop("event")
+    listener = LossListener(name)
+    spark.streams.addListener(listener)
+    try:
+        run = (
+            route_event_types(rows).writeStream.format("parquet")
+            .option("path", path)
+            .option("checkpointLocation", new_folder(spark, "loss"))
+            .trigger(availableNow=True)
+            .start()
+        )
+        run.awaitTermination()
+        # Progress is told by another thread.
+        listener.ended.wait(60)
+    finally:
+        spark.streams.removeListener(listener)
+    rows = [(batch, *[int(figures[c]) for c in LOSSES]) for batch, figures in sorted(listener.rows.items())]
+    return spark.createDataFrame(rows, "batch_id long, " + ", ".join(f"{c} long" for c in LOSSES))
 
 
 MANIFEST = "snapshot_id bigint, path string, previous_path string"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 from pyspark.sql import functions as F
 
 from tasklens.operators.analytics import task_latest_state
@@ -11,6 +13,8 @@ from tasklens.plans.catalog import canonical
 from tasklens.sources.readers import stream_task_events, with_instant
 from tasklens.sources.views import view
 from tasklens.streaming import runs as S
+from tasklens.streaming.late import counted_sessions, counted_windows
+from tasklens.streaming.ordered import named_in_order
 
 
 def _in_batches(spark, sf, tmp_path, n=3):
@@ -58,12 +62,115 @@ def test_window_totals(spark, sf, tmp_path):
     assert set(map(tuple, streamed.collect())) == set(map(tuple, batch.collect()))
 
 
-def test_loss_per_batch(spark, sf, tmp_path):
-    raw, stream = _in_batches(spark, sf, tmp_path)
-    rows = S.loss_metrics(stream).collect()
-    assert len(rows) == 3
-    assert sum(r.seen for r in rows) == raw.count()
-    assert sum(r.poisoned for r in rows) == raw.filter("poison").count()
+def _files(spark, rows, schema, path, key="file"):
+    """Rows as one file per number of ``key``, in order, and the stream that reads a file per batch."""
+    df = spark.createDataFrame(rows, schema)
+    for (i,) in df.select(key).distinct().orderBy(key).collect():
+        df.filter(F.col(key) == i).drop(key).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(df.drop(key).schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+EVENTS = "event_id long, at long, uuid string, kind string, name string, file int"
+
+
+def _instants(df):
+    return df.withColumn("event_ts", F.timestamp_micros("at")).drop("at")
+
+
+def test_names_in_any_order(spark, tmp_path):
+    """Whatever the order of arrival, a task's events are named in their own; copies and ties change nothing."""
+    rng = random.Random(11)
+    minute = 60_000_000
+    rows = []
+    for i in range(220):
+        # Many events share their time.
+        kind = rng.choice(["started", "started", "retried", "succeeded", "failed"])
+        name = rng.choice(["a", "b", "", None]) if kind == "started" else rng.choice(["own", None, None, None])
+        rows.append((i, 1_700_000_000_000_000 + i // 3 * 7 * minute, rng.choice(["t1", "t2", "t3", "", None]), kind, name, rng.randint(0, 3)))
+    rows += [(*r[:5], min(3, r[5] + 1)) for r in rows[::9]]
+    clock = (-1, 4_000_000_000_000_000, None, "clock", None, 9)
+    stream = _instants(_files(spark, [*rows, clock], EVENTS, str(tmp_path / "in")))
+    named = named_in_order(stream, "30 hours", "1 hour", None)
+    with S.settings(spark, {"spark.sql.streaming.stateStore.providerClass": S.ROCKSDB}):
+        got = S.append_all(named, "names").select("event_id", "carried_name").collect()
+    batch = _instants(spark.createDataFrame([r[:5] for r in rows], EVENTS.removesuffix(", file int"))).dropDuplicates(["event_id"])
+    expected = {(r.event_id, r.carried_name) for r in carry_task_name(batch).collect()}
+    assert {tuple(r) for r in got} == expected
+    # Copies came out as copies.
+    assert len(got) == len(rows)
+
+
+def test_names_are_forgotten_and_late_events_dropped(spark, tmp_path):
+    hour = 3_600_000_000
+    rows = [
+        (1, 10 * hour, "t", "started", "a", 0), (2, 11 * hour, "t", "retried", None, 0), (3, 20 * hour, "t", "retried", None, 1),
+        (4, 60 * hour, "u", "started", "b", 1), (5, 9 * hour, "t", "started", "late", 3), (-1, 9000 * hour, None, "clock", None, 4),
+    ]
+    # A batch between, as rows may come as late as the batch before last allows.
+    rows.append((6, 61 * hour, "u", "retried", None, 2))
+    stream = _instants(_files(spark, rows, EVENTS, str(tmp_path / "in")))
+    with S.settings(spark, {"spark.sql.streaming.stateStore.providerClass": S.ROCKSDB}):
+        got = S.append_all(named_in_order(stream, "2 hours", "1 hour", "5 hours"), "names").collect()
+    assert {(r.event_id, r.carried_name) for r in got} == {(1, "a"), (2, "a"), (3, None), (4, "b"), (6, "b")}
+
+
+def _late_rows(spark, tmp_path):
+    minute = 60_000_000
+    base = 1_700_000_000_000_000 // (10 * minute) * 10 * minute
+    rng = random.Random(4)
+    rows = [(i, base + rng.randint(0, 300) * minute, rng.choice("ab"), i // 60) for i in range(240)]
+    rows.append((999, None, "a", 2))
+    stream = _instants(_files(spark, rows, "event_id long, at long, host string, file int", str(tmp_path / "in")))
+    return rows, stream, base, minute
+
+
+def test_windows_and_late_rows_are_all_rows(spark, tmp_path):
+    rows, stream, _base, minute = _late_rows(spark, tmp_path)
+    counted = counted_windows(stream, ("host",), "10 minutes", "30 minutes")
+    late, on_time, mark = set(), {}, None
+    for file in range(5):
+        batch = [r for r in rows if r[3] == file]
+        for i, at, host, _ in batch:
+            if at is None or (mark is not None and at // (10 * minute) * 10 * minute + 10 * minute <= mark):
+                late.add(i)
+            else:
+                key = (at // (10 * minute) * 10 * minute, host)
+                on_time[key] = on_time.get(key, 0) + 1
+        mark = max([mark or 0, *[r[1] - 30 * minute for r in batch if r[1] is not None]])
+    assert {r.event_id for r in counted.late.collect()} == late and len(late) > 10
+    got = counted.counts.select(F.unix_micros("window_start").alias("w"), "host", "n", "closed").collect()
+    assert {(r.w, r.host): r.n for r in got} == on_time
+    assert all(r.closed == (r.w + 10 * minute <= mark) for r in got) and {r.closed for r in got} == {True, False}
+    assert sum(r.n for r in got) + len(late) == len(rows)
+
+
+def test_sessions_over_batches(spark, tmp_path):
+    rows, stream, _base, minute = _late_rows(spark, tmp_path)
+    # So long a delay that nothing but the row without a time is late.
+    counted = counted_sessions(stream, ("host",), "7 minutes", "20 hours")
+    expected = set()
+    for host in "ab":
+        times = sorted(r[1] for r in rows if r[2] == host and r[1] is not None)
+        start, n = times[0], 0
+        for at, after in zip(times, [*times[1:], None], strict=True):
+            n += 1
+            if after is None or after > at + 7 * minute:
+                expected.add((host, start, at + 7 * minute, n, False))
+                start, n = after, 0
+    got = counted.counts.select("host", F.unix_micros("session_start"), F.unix_micros("session_end"), "n", "closed").collect()
+    assert {tuple(r) for r in got} == expected
+    assert [r.event_id for r in counted.late.collect()] == [999]
+
+
+def test_loss_per_batch(spark, tmp_path):
+    """Envelopes that lose elements are counted as envelopes; nothing after a poisoned element is stored."""
+    ok, sent = '{"type": "task-started", "uuid": "u"}', '{"type": "task-sent"}'
+    bodies = [f"[{ok}, 17, {ok}]", f"[{ok}, {sent}]", "nonsense", "[]", ok, f"[17, {ok}]", f"[{ok}]"]
+    rows = [(i, body, i // 3) for i, body in enumerate(bodies)]
+    stream = _files(spark, rows, "message_id long, body string, file int", str(tmp_path / "in"))
+    got = S.loss_metrics(stream, str(tmp_path / "out")).orderBy("batch_id").collect()
+    assert [tuple(r) for r in got] == [(0, 3, 2, 3, 1), (1, 3, 1, 2, 0), (2, 1, 0, 0, 0)]
+    assert sorted(r.message_id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [0, 1, 4, 6]
 
 
 def test_sinks_repeat_without_harm(spark, tmp_path):
