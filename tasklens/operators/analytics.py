@@ -5,12 +5,13 @@ from __future__ import annotations
 import math
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tasklens import constants as K
 from tasklens.functions.names import present
 from tasklens.operators.ordered import Running, running
-from tasklens.session import checkpointed
+from tasklens.session import checkpointed, stored
 
 _PLACE = ("event_ts", "event_id")
 
@@ -39,19 +40,15 @@ def task_runtime_stats(
     """Per task name: count, average, extremes and exact percentiles (interpolated) of ``runtime_ms``.
 
     Equal runtimes are counted together first, so neither a frequent task nor a frequent value weighs on one task.
-    Running counts from both ends then give every value its rank and the total, without a second look at the events.
+    Running counts then give every value its rank among its task's, whose total is known from the same counts.
     """
-    counts = (
-        events.filter(F.col("runtime_ms").isNotNull())
-        .groupBy("task_name", "runtime_ms")
-        .agg(F.count("*").alias("_n"))
-        .withColumn("_down", -F.col("runtime_ms"))
-    )
-    for name, order in (("_upto", "runtime_ms"), ("_from", "_down")):
-        counts = running(
-            counts, ["task_name"], (order,), [[Running(name, F.col("_n"), "sum")]], key_row_budget
-        )
-    last = F.col("_upto") + F.col("_from") - F.col("_n") - 1
+    by_value = events.filter(F.col("runtime_ms").isNotNull()).groupBy("task_name", "runtime_ms").agg(F.count("*").alias("_n"))
+    # Two passes over the counts, none over the events.
+    by_value = stored(by_value, "runtimes")
+    counts = running(by_value, ["task_name"], ("runtime_ms",), [[Running("_upto", F.col("_n"), "sum")]], key_row_budget)
+    totals = by_value.groupBy(F.col("task_name").alias("_task")).agg(F.sum("_n").alias("_total"))
+    counts = counts.join(totals, F.col("task_name").eqNullSafe(F.col("_task")))
+    last = F.col("_total") - 1
     ends = []
     for i, p in enumerate(points):
         for side, rank in (("low", F.floor(last * F.lit(p))), ("high", F.ceil(last * F.lit(p)))):
@@ -218,8 +215,12 @@ def retry_chains(events: DataFrame, key_row_budget: int | None = None) -> DataFr
     return chained.withColumn("gap_us", gap).drop("previous_ts")
 
 
-def worker_load(events: DataFrame, approximate: bool = False, key_row_budget: int | None = None) -> DataFrame:
-    """Per worker: events, distinct tasks, and the dense rank by events."""
+def worker_load(events: DataFrame, approximate: bool = False) -> DataFrame:
+    """Per worker: events, distinct tasks, and the dense rank by events.
+
+    Ranked are the distinct numbers of events, not the workers: so many different numbers add up to no more events than
+    there are, so their list stays short (some millions for ten trillion events) however many workers share one.
+    """
     known = events.filter(F.col("worker").isNotNull())
     if approximate:
         load = known.groupBy("worker").agg(
@@ -230,12 +231,7 @@ def worker_load(events: DataFrame, approximate: bool = False, key_row_budget: in
         load = per_task.groupBy("worker").agg(
             F.sum("_n").alias("n_events"), F.count("task_id").alias("n_tasks")
         )
-    # The rank is a running count of new values over one order of all workers.
-    ordered = load.withColumns({"_all": F.lit(0), "_down": -F.col("n_events")})
-    new_value = F.when(F.col("_before").eqNullSafe(F.col("_down")), 0).otherwise(1)
-    levels = [
-        [Running("_before", F.col("_down"), "last", inclusive=False)],
-        [Running("load_rank", new_value, "sum")],
-    ]
-    ranked = running(ordered, ["_all"], ("_down", "worker"), levels, key_row_budget)
-    return ranked.select("worker", "n_events", "n_tasks", "load_rank")
+    load = stored(load, "loads")
+    values = load.select(F.col("n_events").alias("_value")).distinct()
+    ranks = values.withColumn("load_rank", F.dense_rank().over(W.orderBy(F.desc("_value"))).cast("long"))
+    return load.join(ranks, F.col("n_events") == F.col("_value")).select("worker", "n_events", "n_tasks", "load_rank")

@@ -10,9 +10,7 @@ from tasklens import constants as K
 from tasklens.functions.control import lookup
 from tasklens.functions.names import present
 from tasklens.functions.payload import number, runtime_ms
-from tasklens.operators.ordered import MEASURE_ABOVE_BYTES
 from tasklens.schemas import ENVELOPE_EVENT
-from tasklens.session import estimated_bytes
 
 
 def _elements(df: DataFrame, body: str) -> DataFrame:
@@ -171,8 +169,7 @@ def retain_latest_n(
     An hourly histogram (one column, combined map-side) gives an hour before which no kept row can lie. The scan
     skips everything older, so the final top-n meets few rows per task however many tasks there are.
     """
-    size = estimated_bytes(df)
-    start = None if size is not None and size <= MEASURE_ABOVE_BYTES else _hour_holding(df, n, time)
+    start = _hour_holding(df, n, time)
     if start is not None:
         df = df.filter(F.col(time) >= F.lit(start).cast(df.schema[time].dataType))
     return df.orderBy(*[F.desc_nulls_last(c) for c in order]).limit(n)

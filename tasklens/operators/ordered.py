@@ -1,10 +1,10 @@
 """Running values per key in a total order, also where one key holds a large share of all rows.
 
 A window partitioned by a key puts every row of that key into one task. That is right for ordinary keys and
-fatal for a hot one. ``running`` therefore measures the keys first (an aggregate over the key columns, combined
-map-side). Keys within the row budget use one window and so one shuffle. Rows of keys above it are range-partitioned on
-``(key, order)``, which cuts a hot key into consecutive chunks; each chunk computes its own running value, and a
-carry-in per (key, chunk) joins the pieces. Both ways give the same rows.
+fatal for a hot one. ``running`` therefore counts the keys first, at any size of input: an aggregate that reads the key
+columns alone and is combined map-side. Keys within the row budget use one window and so one shuffle. Rows of keys above it
+are range-partitioned on ``(key, order)``, which cuts a hot key into consecutive chunks; each chunk computes its own running
+value, and a carry-in per (key, chunk) joins the pieces. Both ways give the same rows.
 """
 
 from __future__ import annotations
@@ -17,12 +17,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tasklens.session import checkpointed, estimated_bytes
+from tasklens.session import stored
 
 # Rows of one key that one task may hold.
 KEY_ROW_BUDGET = 5_000_000
-# Below this estimated input size no key can hold enough rows to matter, so it is not measured.
-MEASURE_ABOVE_BYTES = 64 * 1024 * 1024
 # Broadcast key lists only up to this many rows.
 BROADCAST_ROWS = 100_000
 
@@ -52,17 +50,11 @@ def running(
 ) -> DataFrame:
     """Add the running values of ``levels``; a later level may refer to columns of an earlier one.
 
-    ``order`` must be a total order within a key. ``key_row_budget`` forces the measurement; without it small
-    inputs skip it.
+    ``order`` must be a total order within a key. ``key_row_budget`` is how many rows of a key one task may hold.
     """
-    if key_row_budget is None:
-        size = estimated_bytes(df)
-        if size is not None and size <= MEASURE_ABOVE_BYTES:
-            return _by_window(df, keys, order, levels)
     budget = key_row_budget or KEY_ROW_BUDGET
-    hot = checkpointed(
-        df.groupBy(*keys).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > budget)
-    )
+    counts = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
+    hot = stored(counts.filter(F.col("_rows") > budget), "hot-keys")
     n_keys, n_rows = hot.agg(F.count("*"), F.sum("_rows")).first()
     if not n_keys:
         return _by_window(df, keys, order, levels)
@@ -92,10 +84,8 @@ def _by_window(df, keys, order, levels) -> DataFrame:
 
 
 def _by_chunks(df, keys, order, levels, chunks: int) -> DataFrame:
-    # The chunk of a row must not change when a task is run again, hence the checkpoint.
-    rows = checkpointed(
-        df.repartitionByRange(chunks, *keys, *order).withColumn("_chunk", F.spark_partition_id())
-    )
+    # The chunk of a row must not change when a task is run again, so the rows are fixed first.
+    rows = stored(df.repartitionByRange(chunks, *keys, *order).withColumn("_chunk", F.spark_partition_id()), "chunks")
     in_chunk = W.partitionBy(*keys, "_chunk").orderBy(*order)
     before = W.partitionBy(*keys).orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
     place = F.struct(*order)

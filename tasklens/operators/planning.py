@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tasklens import constants as K
@@ -16,15 +17,15 @@ def _cap(limit: Column) -> Column:
     return F.least(F.coalesce(limit, F.lit(K.BULK_RETRY_DEFAULT)), F.lit(K.BULK_RETRY_HARD_CAP))
 
 
-def retry_candidates(ids: DataFrame, key_row_budget: int | None = None) -> DataFrame:
+def retry_candidates(ids: DataFrame) -> DataFrame:
     """The ids each command may retry: its first ones in order, up to its cap.
 
-    ``ids(command_id, position, task_id, max_ids)``; ``max_ids`` is the command's own limit.
+    ``ids(command_id, position, task_id, max_ids)``; ``max_ids`` is the command's own limit. The hard cap stands as a constant
+    next to the rank, so Spark cuts every command to that many ids before the shuffle, however many one asks for.
     """
-    numbered = running(
-        ids, ["command_id"], ("position",), [[Running("rank", F.lit(1), "sum")]], key_row_budget
-    )
-    return numbered.filter(F.col("rank") <= _cap(F.col("max_ids")))
+    first = W.partitionBy("command_id").orderBy("position")
+    ranked = ids.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= K.BULK_RETRY_HARD_CAP)
+    return ranked.filter(F.col("rank") <= _cap(F.col("max_ids"))).withColumn("rank", F.col("rank").cast("long"))
 
 
 def retry_requests(commands: DataFrame, ids: DataFrame) -> DataFrame:

@@ -22,8 +22,8 @@ _STATE_AFTER = {
 SECTIONS = ("stats", "active", "active_queues", "registered", "conf")
 
 
-def reconcile_record(backend: DataFrame) -> DataFrame:
-    """Stored results as ``task_id, engine_state, finished_at, exception``."""
+def reconcile_record(backend: DataFrame, also: tuple[str, ...] = ()) -> DataFrame:
+    """Stored results as ``task_id, engine_state, finished_at, exception`` and the columns ``also``."""
     state = canonical_state(F.col("state"))
     return backend.select(
         "task_id",
@@ -32,6 +32,7 @@ def reconcile_record(backend: DataFrame) -> DataFrame:
         F.when(
             state == "failure", tail(present(F.col("traceback")), K.RECONCILE_TRACEBACK_CHARS)
         ).alias("exception"),
+        *also,
     )
 
 

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from tasklens import constants as K
 from tasklens.operators.canonical import broker_events, signal_events
 from tasklens.operators.envelope import absorb_bad_events, quarantine_poison, route_event_types
-from tasklens.operators.naming import carry_task_name, with_task_name
-from tasklens.sources.views import signals, view, with_views
+from tasklens.operators.naming import carry_task_name, join_task_meta, with_task_name
+from tasklens.sources.views import metadata, signals, view, with_views
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,8 +43,10 @@ def named_events(spark: SparkSession, folder: str, source: str = "raw_task_event
     return with_task_name(carry_task_name(good_events(spark, folder, source)))
 
 
-def canonical(spark: SparkSession, folder: str, source: str = "raw_task_events") -> DataFrame:
-    return broker_events(named_events(spark, folder, source))
+def canonical(spark: SparkSession, folder: str, source: str = "raw_task_events", meta: bool = False) -> DataFrame:
+    """Canonical broker events; ``meta`` joins the metadata that tags, redacts and rates them."""
+    rows = named_events(spark, folder, source)
+    return broker_events(join_task_meta(rows, metadata(spark, folder)) if meta else rows)
 
 
 def canonical_signals(spark: SparkSession, folder: str, meta: DataFrame | None = None) -> DataFrame:

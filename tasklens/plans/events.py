@@ -22,7 +22,7 @@ _BROKER = "'broker:' || event_id AS event_id, uuid AS task_id, kind, event_ts, '
 
 
 def _of_kind(spark, folder, kind):
-    return O.of_kind(canonical(spark, folder, "detailed_events"), kind)
+    return O.of_kind(canonical(spark, folder, "detailed_events", meta=True), kind)
 
 
 @query(
@@ -50,7 +50,8 @@ def events_started(spark, folder):
 
 @query(
     "events_succeeded",
-    f"{_DETAILED} SELECT {_BROKER}, {scrubbed('result')} AS result, runtime_ms FROM named WHERE kind = 'succeeded'",
+    f"""{_DETAILED} SELECT {_BROKER.replace(' task_name,', ' n.task_name,')}, CASE WHEN m.redact_result THEN '[REDACTED]' ELSE {scrubbed('result')} END AS result, runtime_ms
+FROM named n LEFT JOIN {{task_meta}} m ON n.task_name = m.task_name WHERE kind = 'succeeded'""",
 )
 def events_succeeded(spark, folder):
     return _of_kind(spark, folder, "succeeded")
@@ -94,18 +95,26 @@ def unify_sources(spark, folder):
     return _both(spark, folder, True).select(*_SHORT)
 
 
-@query(
-    "dedupe_events",
+_DEDUPED = (
     f"""{_BOTH},
 counted AS (SELECT *, coalesce(nullif(task_id, ''), event_id) AS t, CAST(coalesce(sum(CASE WHEN kind = 'retried' THEN 1 ELSE 0 END)
   OVER (PARTITION BY coalesce(nullif(task_id, ''), event_id), capture ORDER BY event_ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS bigint) AS attempt FROM both_),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY t, kind, attempt ORDER BY CASE WHEN (capture = 'signal') = (kind = 'received') THEN 0 ELSE 1 END, event_ts, event_id) AS r FROM counted)
-SELECT event_id, task_id, kind, attempt, event_ts, capture FROM ranked WHERE r = 1""",
+SELECT event_id, task_id, kind, attempt, event_ts, capture FROM ranked WHERE r = 1"""
 )
+
+
+@query("dedupe_events", _DEDUPED)
 def dedupe_events(spark, folder):
     return O.dedupe_transitions(_both(spark, folder, False)).select(*_SHORT, "attempt")
 
 
+@query("dedupe_events_of_hot_tasks", _DEDUPED)
+def dedupe_events_of_hot_tasks(spark, folder):
+    """The same where a task may hold so few rows that the busier ones are cut up."""
+    return O.dedupe_transitions(_both(spark, folder, False), key_row_budget=12).select(*_SHORT, "attempt")
+
+
 @query("dedupe_resends", f"{_BOTH} SELECT * FROM both_")
 def dedupe_resends(spark, folder):
     events = _both(spark, folder, False)

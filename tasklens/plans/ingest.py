@@ -86,8 +86,7 @@ def scan_source_files(spark, folder):
 )
 def read_result_backend(spark, folder):
     stored = view(spark, folder, "result_backend")
-    record = reconcile_record(stored.withColumn("traceback", F.lit(None).cast("string")))
-    return record.join(stored.select("task_id", "name", "args", "kwargs"), "task_id").drop("exception")
+    return reconcile_record(stored.withColumn("traceback", F.lit(None).cast("string")), ("name", "args", "kwargs")).drop("exception")
 
 
 @query(
@@ -109,26 +108,34 @@ def read_worker_snapshots(spark, folder):
     "SELECT queue, count(*) AS depth FROM {pending_messages} GROUP BY queue",
 )
 def read_queue_depths(spark, folder):
-    pending = view(spark, folder, "pending_messages")
-    return queue_depths(pending, pending.select("queue"))
+    return view(spark, folder, "pending_messages").groupBy("queue").agg(F.count("*").alias("depth"))
 
 
 @query(
     "write_events",
-    f"""WITH {named_sql()}
-SELECT CAST(CAST(event_ts AS date) AS varchar) AS event_date, kind, count(*) AS n, count(runtime_ms) AS n_runtimes FROM named GROUP BY 1, 2""",
+    f"""WITH {named_sql('detailed_events')}
+SELECT CAST(CAST(event_ts AS date) AS varchar) AS event_date, kind, count(*) AS n, count(runtime_ms) AS n_runtimes,
+  count(CASE WHEN kind = 'succeeded' AND (result IS NOT NULL OR m.redact_result) THEN 1 END) AS n_results,
+  count(CASE WHEN kind = 'succeeded' AND m.redact_result THEN 1 END) AS n_redacted, min(n.task_name) AS first_name, max(m.tag) AS last_tag
+FROM named n LEFT JOIN {{task_meta}} m ON n.task_name = m.task_name GROUP BY 1, 2""",
 )
 def write_events(spark, folder):
     path = new_folder(spark, "canonical")
-    readers.write_events(canonical(spark, folder), path)
+    readers.write_events(canonical(spark, folder, "detailed_events", meta=True), path)
     return (
         spark.read.parquet(path)
         .groupBy(F.col("event_date").cast("string").alias("event_date"), "kind")
-        .agg(F.count("*").alias("n"), F.count("runtime_ms").alias("n_runtimes"))
+        .agg(
+            F.count("*").alias("n"),
+            F.count("runtime_ms").alias("n_runtimes"),
+            F.count("result").alias("n_results"),
+            F.count_if(F.col("result") == K.REDACTED).alias("n_redacted"),
+            F.min("task_name").alias("first_name"),
+            F.max(F.get("tags", F.lit(0))).alias("last_tag"),
+        )
     )
 
 
-
 @query(
     "explode_envelopes",
     """WITH items AS (

@@ -39,7 +39,7 @@ def _sources(spark, folder):
     return view(spark, folder, "source_files").withColumn("content", broken.cast("binary"))
 
 
-_SCANNED = "FROM {source_files} WHERE file IN ('tasks.py', 'tasks/mail.py') AND p_partkey % 13 <> 5"
+_SCANNED = """FROM {source_files} WHERE length <= 2097152 AND file IN ('tasks.py', 'celery.py', 'tasks/__init__.py', 'tasks/mail.py') AND p_partkey % 13 <> 5"""
 
 
 @query(
@@ -48,7 +48,10 @@ _SCANNED = "FROM {source_files} WHERE file IN ('tasks.py', 'tasks/mail.py') AND
 UNION ALL SELECT path, 'inner_' || p_partkey, NULL, '(x: ''list[int]'')' {_SCANNED}""",
 )
 def scan_definitions(spark, folder):
-    files = _sources(spark, folder).filter("file in ('tasks.py', 'tasks/mail.py')")
+    """The declarations in all files that may hold some, under the roots of all applications."""
+    sources = _sources(spark, folder)
+    roots = sources.select(F.regexp_extract("path", "^(.*/app[0-9]+)/", 1).alias("root")).distinct()
+    files = R.candidate_files(sources, roots)
     return R.scan_definitions(files, spark.sparkContext.defaultParallelism * 2).select("path", "function", "queue", "signature")
 
 

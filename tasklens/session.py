@@ -65,9 +65,8 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of ``df``; None where the session cannot say (no JVM access)."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    except AttributeError:
-        return None
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written once as a table in the shared folder, and read from there: computed once, fixed, without lineage."""
+    folder = new_folder(df.sparkSession, purpose)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
