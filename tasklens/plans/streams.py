@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from tasklens.operators.envelope import route_event_types
-from tasklens.plans.catalog import cut, joined, named_sql, query, scrubbed
+from tasklens.plans.catalog import SIGNALS_SQL, canonical, canonical_signals, cut, joined, named_sql, query, scrubbed
 from tasklens.schemas import ENVELOPE, RAW_EVENT
-from tasklens.session import checkpointed, new_folder
+from tasklens.session import checkpointed, new_folder, stored
 from tasklens.sources.readers import stream_task_events, with_instant
 from tasklens.sources.views import metadata, view
 from tasklens.streaming import runs as S
 from tasklens.streaming.late import counted_sessions, counted_windows
 from tasklens.streaming.lifecycle import arriving_events, start_lifecycle
 from tasklens.streaming.ordered import named_in_order
+from tasklens.streaming.pairing import pair_captures
 
 
 def _raw(spark, folder):
@@ -81,7 +84,7 @@ _DELAY = "5 days"
 def stream_carry_name(spark, folder):
     """Names out of six files of disordered envelopes: what the batch gives in order."""
     named = named_in_order(arriving_events(_envelopes(spark, folder)), _DELAY, "1 day", None, order=("message_id", "pos"))
-    with S.settings(spark, {"spark.sql.streaming.stateStore.providerClass": S.ROCKSDB}):
+    with S.settings(spark, S.stateful(spark)):
         rows = S.append_all(named, "ordered-names").dropDuplicates(["event_id"])
     return rows.withColumns(_naive("event_ts")).select("event_id", "uuid", "kind", "event_ts", "name", "carried_name")
 
@@ -103,7 +106,9 @@ FROM named n JOIN sent ON message_id = sent.m LEFT JOIN {{task_meta}} m ON n.tas
 def stream_lifecycle(spark, folder):
     """The whole way from disordered envelopes to stored events, some delivered twice, batch by batch."""
     path = new_folder(spark, "lifecycle")
-    run = start_lifecycle(_envelopes(spark, folder), f"{path}/events", f"{path}/checkpoint", metadata(spark, folder), delay=_DELAY, slot="1 day", remember=None)
+    envelopes, meta = _envelopes(spark, folder), metadata(spark, folder)
+    with S.settings(spark, S.stateful(spark)):
+        run = start_lifecycle(envelopes, f"{path}/events", f"{path}/checkpoint", meta, delay=_DELAY, slot="1 day", remember=None)
     run.awaitTermination()
     events = spark.read.parquet(f"{path}/events")
     return events.withColumn("tags", joined(F.col("tags"))).select(
@@ -192,6 +197,43 @@ def stream_session_counts(spark, folder):
     return counted.counts.withColumns(_naive("session_start", "session_end"))
 
 
+def _capture_stream(spark, events, name):
+    """Canonical events as a stream of six files in the order of their times, closed by a clock row."""
+    slim = events.select("event_id", "task_id", "kind", "event_ts", "capture")
+    number = F.coalesce(F.regexp_extract("event_id", "([0-9]+)", 1).cast("long"), F.lit(0))
+    rows = stored(slim.withColumn("_n", number), "captures")
+    last = rows.agg(F.max("_n")).first()[0] + 100
+    # Arrival is out of order within about a hundred events.
+    placed = rows.withColumn("file", F.floor((F.col("_n") + F.col("_n") * 7919 % 97) * 6 / last).cast("int")).drop("_n")
+    path = new_folder(spark, "capture-files")
+    for i in range(6):
+        placed.filter(F.col("file") == i).drop("file").coalesce(1).write.mode("append").parquet(path)
+    clock = [(f"clock {name}", "", "clock", datetime(2100, 1, 1), name)]
+    spark.createDataFrame(clock, slim.schema).coalesce(1).write.mode("append").parquet(path)
+    return with_instant(stream_task_events(spark, path, schema=slim.schema, maxFilesPerTrigger=1))
+
+
+@query(
+    "stream_pair_captures",
+    f"""WITH {named_sql()}, {SIGNALS_SQL},
+b AS (SELECT 'broker:' || event_id AS event_id, uuid AS task_id, kind, event_ts, 'broker' AS capture FROM named),
+s AS (SELECT 'signal:' || event_id AS event_id, tid AS task_id, kind, event_ts, 'signal' AS capture FROM sig),
+pairs AS (SELECT b.event_id AS broker_id, s.event_id AS signal_id, coalesce(b.kind, s.kind) AS kind,
+    s.event_id IS NOT NULL AND (coalesce(b.kind, s.kind) = 'received' OR b.event_id IS NULL) AS signal_first,
+    b.task_id AS bt, s.task_id AS st, b.event_ts AS be, s.event_ts AS se
+  FROM b FULL JOIN s ON b.task_id = s.task_id AND b.task_id <> '' AND b.kind = s.kind
+    AND s.event_ts BETWEEN b.event_ts - INTERVAL 5 SECOND AND b.event_ts + INTERVAL 5 SECOND)
+SELECT CASE WHEN signal_first THEN signal_id ELSE broker_id END AS event_id, CASE WHEN signal_first THEN st ELSE bt END AS task_id, kind,
+  CASE WHEN signal_first THEN se ELSE be END AS event_ts, CASE WHEN signal_first THEN 'signal' ELSE 'broker' END AS capture, broker_id, signal_id FROM pairs""",
+)
+def stream_pair_captures(spark, folder):
+    """Copies of one transition on both paths meet in a stream-stream join; what has no partner comes out alone."""
+    broker = _capture_stream(spark, canonical(spark, folder), "broker")
+    signal = _capture_stream(spark, canonical_signals(spark, folder), "signal")
+    with S.settings(spark, S.stateful(spark)):
+        return S.append_all(pair_captures(broker, signal, "5 seconds", _DELAY), "pairs").withColumns(_naive("event_ts"))
+
+
 @query(
     "stream_latest_state",
     """SELECT uuid AS task_id, arg_max(replace(type, 'task-', ''), (event_ts, event_id)) AS kind, min(event_ts) AS first_ts, max(event_ts) AS last_ts, count(*) AS n_events

@@ -46,6 +46,14 @@ def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
                 spark.conf.set(k, v)
 
 
+def stateful(spark: SparkSession) -> dict[str, str]:
+    """Settings for a query with state: RocksDB, and a state partition per core, as a query keeps its partitions for life."""
+    return {
+        "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+        "spark.sql.shuffle.partitions": str(spark.sparkContext.defaultParallelism),
+    }
+
+
 def stream_table(spark: SparkSession, folder: str, name: str, **options: object) -> DataFrame:
     """A table of ``folder`` as a stream of its files."""
     reader = spark.readStream.schema(TABLES[name]).option("pathGlobFilter", f"{name}.parquet")

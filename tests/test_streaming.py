@@ -15,6 +15,7 @@ from tasklens.sources.views import view
 from tasklens.streaming import runs as S
 from tasklens.streaming.late import counted_sessions, counted_windows
 from tasklens.streaming.ordered import named_in_order
+from tasklens.streaming.pairing import pair_captures
 
 
 def _in_batches(spark, sf, tmp_path, n=3):
@@ -91,7 +92,7 @@ def test_names_in_any_order(spark, tmp_path):
     clock = (-1, 4_000_000_000_000_000, None, "clock", None, 9)
     stream = _instants(_files(spark, [*rows, clock], EVENTS, str(tmp_path / "in")))
     named = named_in_order(stream, "30 hours", "1 hour", None)
-    with S.settings(spark, {"spark.sql.streaming.stateStore.providerClass": S.ROCKSDB}):
+    with S.settings(spark, S.stateful(spark)):
         got = S.append_all(named, "names").select("event_id", "carried_name").collect()
     batch = _instants(spark.createDataFrame([r[:5] for r in rows], EVENTS.removesuffix(", file int"))).dropDuplicates(["event_id"])
     expected = {(r.event_id, r.carried_name) for r in carry_task_name(batch).collect()}
@@ -109,7 +110,7 @@ def test_names_are_forgotten_and_late_events_dropped(spark, tmp_path):
     # A batch between, as rows may come as late as the batch before last allows.
     rows.append((6, 61 * hour, "u", "retried", None, 2))
     stream = _instants(_files(spark, rows, EVENTS, str(tmp_path / "in")))
-    with S.settings(spark, {"spark.sql.streaming.stateStore.providerClass": S.ROCKSDB}):
+    with S.settings(spark, S.stateful(spark)):
         got = S.append_all(named_in_order(stream, "2 hours", "1 hour", "5 hours"), "names").collect()
     assert {(r.event_id, r.carried_name) for r in got} == {(1, "a"), (2, "a"), (3, None), (4, "b"), (6, "b")}
 
@@ -162,6 +163,25 @@ def test_sessions_over_batches(spark, tmp_path):
     assert [r.event_id for r in counted.late.collect()] == [999]
 
 
+def test_capture_paths_pair_up(spark, tmp_path):
+    """Near copies of one task and kind are one row, the owner's; what stands alone on either path stays."""
+    second = 1_000_000
+    sides = {
+        "broker": [("b1", "t", 10, "failed", 0), ("b2", "t", 20, "started", 0), ("b3", "", 30, "failed", 1), ("b4", "u", 40, "received", 1)],
+        "signal": [("s1", "t", 12, "failed", 1), ("s2", "t", 26, "started", 0), ("s3", "", 30, "failed", 1), ("s4", "u", 38, "received", 0)],
+    }
+    streams = []
+    for name, rows in sides.items():
+        rows = [(i, t, at * second, kind, name, file) for i, t, at, kind, file in rows] + [(f"clock {name}", "", 9_000_000 * second, "clock", name, 9)]
+        schema = "event_id string, task_id string, at long, kind string, capture string, file int"
+        streams.append(_instants(_files(spark, rows, schema, str(tmp_path / name))))
+    with S.settings(spark, S.stateful(spark)):
+        got = S.append_all(pair_captures(*streams, "5 seconds", "1 hour"), "pairs").collect()
+    assert {(r.event_id, r.broker_id, r.signal_id) for r in got} == {
+        ("b1", "b1", "s1"), ("b2", "b2", None), ("s2", None, "s2"), ("b3", "b3", None), ("s3", None, "s3"), ("s4", "b4", "s4")
+    }
+
+
 def test_loss_per_batch(spark, tmp_path):
     """Envelopes that lose elements are counted as envelopes; nothing after a poisoned element is stored."""
     ok, sent = '{"type": "task-started", "uuid": "u"}', '{"type": "task-sent"}'
