@@ -124,10 +124,13 @@ TEXT_RULES = (
     (
         "assignment",
         # password, passwd, private_key, secret, ssn, token, api_key, apikey, authorization, credit_card; few branches, as
-        # each of them is tried at every character. A quoted value runs to its closing quote or the end of its line.
+        # each of them is tried at every character. A quoted value runs to its closing quote or the end of its line. A bare one
+        # ends with its word after a quoted key, as in JSON; after a plain key it may hold anything, so it runs to a quote or
+        # the end of its line.
         r"(?i)(p(?:ass(?:word|wd)|rivate_key)|s(?:ecret|sn)|token|a(?:pi_?key|uthorization)|credit_card)"
-        r"([\"']?[ \t]*[:=][ \t]*)(?:(\")[^\"\\\r\n]*(?:\\.[^\"\\\r\n]*)*|(')[^'\\\r\n]*(?:\\.[^'\\\r\n]*)*|[^ \t\r\n\"',;]+)",
-        "$1$2$3$4[REDACTED]",
+        r"(?:([\"'][ \t]*[:=][ \t]*)(?:(\")[^\"\\\r\n]*(?:\\.[^\"\\\r\n]*)*|(')[^'\\\r\n]*(?:\\.[^'\\\r\n]*)*|[^ \t\r\n\"',;]+)"
+        r"|([ \t]*[:=][ \t]*)(?:(\")[^\"\\\r\n]*(?:\\.[^\"\\\r\n]*)*|(')[^'\\\r\n]*(?:\\.[^'\\\r\n]*)*|[^\r\n\"']+))",
+        "$1$2$3$4$5$6$7[REDACTED]",
     ),
     ("bearer", r"(?i)(bearer)[ \t]+[a-z0-9._~+/=-]+", "$1 [REDACTED]"),
     ("url_credentials", r"://[^/ \t\r\n:@]+:[^/ \t\r\n@]+@", "://[REDACTED]@"),

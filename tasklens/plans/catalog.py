@@ -74,7 +74,7 @@ def quoted(text: str) -> str:
 def scrubbed(expression: str) -> str:
     """The default text rules as DuckDB SQL."""
     for _name, pattern, replacement in K.TEXT_RULES:
-        for n in "1234":
+        for n in "1234567":
             replacement = replacement.replace(f"${n}", f"\\{n}")
         pattern = pattern.replace("{", "{{").replace("}", "}}")
         expression = f"regexp_replace({expression}, {quoted(pattern)}, {quoted(replacement)}, 'g')"

@@ -97,7 +97,9 @@ def test_scrub_args_and_result(spark):
 
 def test_scrub_text(spark):
     cases = {
-        "password: hunter2, next": "password: [REDACTED], next",
+        "password: hunter2, next\nline": "password: [REDACTED]\nline",
+        "credit_card: 4111 1111 1111 1111": "credit_card: [REDACTED]",
+        "password=a,b c": "password=[REDACTED]",
         'token = "abc.def" end': 'token = "[REDACTED]" end',
         "{'api_key': 'k1', 'a': 1}": "{'api_key': '[REDACTED]', 'a': 1}",
         "Authorization bearer abc.DEF-1": "Authorization bearer [REDACTED]",
