@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, StringType
 
 from tasklens import constants as K
+from tasklens.functions.nested import scrub_nested
 from tasklens.functions.text import Rule, scrub_text
 
 
@@ -89,7 +90,10 @@ def scrub_kwargs(
     sensitive: Sequence[str] = K.SENSITIVE_KEYS,
     rules: Sequence[Rule] = K.TEXT_RULES,
 ) -> Column:
-    """Keep-list, then the task's own redactions, then the default rules. A NULL keep-list keeps all keys."""
+    """Keep-list, then the task's own redactions, then the default rules. A NULL keep-list keeps all keys.
+
+    Values that are maps or lists, as JSON text, are searched for sensitive keys themselves.
+    """
     if keep is not None:
         kwargs = F.map_filter(kwargs, lambda k, _v: keep.isNull() | F.array_contains(keep, k))
 
@@ -97,7 +101,7 @@ def scrub_kwargs(
         listed = F.lower(k).isin(*sensitive)
         if redact is not None:
             listed = listed | F.coalesce(F.array_contains(redact, k), F.lit(False))
-        return F.when(listed, F.lit(K.REDACTED)).otherwise(scrub_text(v, rules))
+        return F.when(listed, F.lit(K.REDACTED)).otherwise(scrub_nested(v, sensitive, rules))
 
     return F.transform_values(kwargs, value)
 

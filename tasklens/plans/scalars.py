@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tasklens.functions import control as C
 from tasklens.functions import payload as P
 from tasklens.functions import text as T
+from tasklens.functions.nested import scrub_nested as scrub_hidden
 from tasklens.plans.catalog import cut, query, scrubbed, shown
 from tasklens.sources.views import metadata, signals, view
 
@@ -92,6 +93,32 @@ def scrub_result(spark, folder):
     return rows.select("event_id", P.scrub_result(given, F.col("redact_result")).alias("result"))
 
 
+_NESTED = """concat('{{"who": "', event_type, '", "rest": [1, {{"deep": {{"Token": "x, y ', CAST(k AS varchar(20)), '", "n": ', CAST(k AS varchar(20)),
+  ', "more": [{{"credit_card": 4111}}]}}}}], "ssn": [', CAST(k AS varchar(20)), ', 2], "note": "password=a,b c", "none": null}}')"""
+
+
+@query(
+    "scrub_nested",
+    f"""WITH docs AS (SELECT event_id, k, json({_NESTED}) AS doc FROM {{payload_cases}})
+SELECT event_id, doc->>'$.who' AS who, '[REDACTED]' AS token, doc->>'$.rest[1].deep.n' AS n, '[REDACTED]' AS card, '[REDACTED]' AS ssn,
+  'password=[REDACTED]' AS note, json_type(doc, '$.none') = 'NULL' AS none_kept, len(json_keys(doc)) AS n_keys FROM docs""",
+)
+def scrub_nested(spark, folder):
+    """Sensitive keys at three levels, with values that hold blanks, commas, numbers and lists."""
+    rows = view(spark, folder, "payload_cases")
+    given = F.expr(_NESTED.replace("{{", "{").replace("}}", "}").replace("varchar(20)", "string"))
+    out = rows.select("event_id", scrub_hidden(given).alias("doc"))
+
+    def at(path):
+        return F.get_json_object("doc", path)
+
+    return out.select(
+        "event_id", at("$.who").alias("who"), at("$.rest[1].deep.Token").alias("token"), at("$.rest[1].deep.n").alias("n"),
+        at("$.rest[1].deep.more[0].credit_card").alias("card"), at("$.ssn").alias("ssn"), at("$.note").alias("note"),
+        F.col("doc").contains('"none":null').alias("none_kept"), F.size(F.json_object_keys("doc")).alias("n_keys"),
+    )
+
+
 @query("scrub_text", f"SELECT doc_id, {scrubbed('traceback')} AS text FROM {{tracebacks}}")
 def scrub_text(spark, folder):
     return view(spark, folder, "tracebacks").select("doc_id", T.scrub_text(F.col("traceback")).alias("text"))

@@ -473,3 +473,29 @@ def test_signal_kwargs_are_json(spark, sf):
 
     rows = canonical_signals(spark, sf).filter("kwargs is not null and kwargs <> '{}'").limit(5).collect()
     assert rows and all(json.loads(r.kwargs)["password"] == "[REDACTED]" for r in rows)
+
+
+def test_nested_payloads(spark):
+    from tasklens.functions.nested import DEPTH, scrub_nested
+
+    deep = '{"a":' * DEPTH + '{"k": 1}' + "}" * DEPTH
+    cases = {
+        '{"a": [{"Password": "x, y z"}, 1, null], "b": {"c": {"token": {"k": [1]}}}}': '{"a":[{"Password":"[REDACTED]"},1,null],"b":{"c":{"token":"[REDACTED]"}}}',
+        '[{"ssn": 12, "n": "secret: s t"}, "plain"]': '[{"n":"secret: [REDACTED]","ssn":"[REDACTED]"},"plain"]',
+        '{"quote\\"d": "a\\"b"}': '{"quote\\"d":"a\\"b"}',
+        "{}": "{}",
+        "[]": "[]",
+        # What lies deeper than is walked is hidden whole.
+        deep: '{"a":' * DEPTH + '"[REDACTED]"' + "}" * DEPTH,
+        # No JSON: the rules for texts.
+        "{'token': 'a b'}": "{'token': '[REDACTED]'}",
+        "password=a,b c": "password=[REDACTED]",
+        None: None,
+    }
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(cases)], "i int, t string")
+    assert [r.out for r in df.select("i", scrub_nested(F.col("t")).alias("out")).orderBy("i").collect()] == list(cases.values())
+
+
+def test_nested_keyword_arguments(spark):
+    given = {"user": "1", "options": '{"auth": {"api_key": "k, l"}, "n": 2}'}
+    assert scrub(spark, given) == {"user": "1", "options": '{"auth":{"api_key":"[REDACTED]"},"n":2}'}
