@@ -17,9 +17,10 @@ from tasklens.llm.queries import read, vocabulary
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the classifier, learnt from ``labels`` and the documents at hand, does not reject."""
     weights = quality.train_quality(docs, read(spark, sf_dir, "labels"))
-    plain = docs.withColumn("_row", F.struct(*docs.columns)).select("_row", F.col("text").alias("_text"))
-    scored = quality.score_quality(plain, weights, text_col="_text")
-    return scored.filter("predicted = 1").select("_row.*")
+    # Under other names, as the table may have columns called like the score.
+    names = {c: f"_own_{i}" for i, c in enumerate(docs.columns)}
+    scored = quality.score_quality(docs.select(*[F.col(c).alias(n) for c, n in names.items()]), weights, names["text"])
+    return scored.filter("predicted = 1").select(*[F.col(n).alias(c) for c, n in names.items()])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,8 +52,7 @@ def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id``, the token ids and their number, and the texts that the ids decode to."""
     path, pattern = vocabulary()
-    encoded = bpe.encode(docs.select("doc_id", "text"), path, pattern, keep_text=False)
-    return bpe.decode(encoded, path, pattern)
+    return bpe.round_trip(docs.select("doc_id", "text"), path, pattern, keep_text=False)
 
 
 STAGES = [

@@ -13,8 +13,7 @@ from __future__ import annotations
 import base64
 import os
 from array import array
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Callable, Iterable, Iterator
 from itertools import chain
 
 import pyarrow as pa
@@ -22,6 +21,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tasklens.llm.resident import resident
+
 MAX_STATES = 20_000
 MAX_PIECES = 125_000
 MAX_PAIRS = 400_000
@@ -329,15 +330,46 @@ class Codec:
         yield machine.end()
 
 
-@lru_cache(maxsize=4)
 def codec(path: str, pattern: str) -> Codec:
-    return Codec(path, pattern)
+    """The codec of a vocabulary; a worker keeps it, and what it has met, until it works for another operator."""
+    return resident((path, pattern), lambda: Codec(path, pattern))
 
 
 def _others(df: DataFrame, *replaced: str) -> list[str]:
     return [c for c in df.columns if c not in replaced]
 
 
+def _ids_of(own: Codec, texts: pa.Array) -> list[array]:
+    return [own.encode(text.as_py() or "") for text in texts]
+
+
+def _texts_of(own: Codec, packed: Iterable[bytes | None]) -> pa.Array:
+    texts = []
+    for body in packed:
+        ids = array("I")
+        ids.frombytes(body or b"")
+        texts.append(own.decode(ids))
+    return pa.array(texts, pa.string())
+
+
+def _mapped(
+    df: DataFrame, source: str, kept: list[str], new: str, step: Callable[[Codec, pa.Array], list[pa.Array]], path: str, pattern: str
+) -> DataFrame:
+    """The columns ``kept`` and the ``new`` ones that ``step`` makes of the column ``source``, batch by batch."""
+    ordered = df.select(F.col(source).alias("_source"), *[F.col(c).alias(f"_{i}") for i, c in enumerate(kept)])
+    added = [c.split()[0] for c in new.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = codec(path, pattern)
+        for batch in batches:
+            columns = [*batch.columns[1:], *step(own, batch.column(0))]
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[1:], *added])
+
+    types = dict(df.dtypes)
+    out = ordered.mapInArrow(run, ", ".join([*[f"_{i} {types[c]}" for i, c in enumerate(kept)], new]))
+    return out.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(kept)], *added)
+
+
 def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", keep_text: bool = True) -> DataFrame:
     """Add ``ids``, the token ids as little-endian unsigned 32-bit integers, and ``n_tokens``.
 
@@ -345,43 +377,30 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", kee
     for itself. Special tokens are ordinary text. Null and empty texts have no ids. Rows stay where they are: nothing is
     shuffled. Columns called ``ids`` or ``n_tokens`` are replaced; ``keep_text`` leaves the text among the columns.
     """
-    kept = _others(docs, "ids", "n_tokens", *([] if keep_text else [text_col]))
-    ordered = docs.select(F.col(text_col).alias("_encoded_text"), *[F.col(c).alias(f"_{i}") for i, c in enumerate(kept)])
+    def step(own: Codec, texts: pa.Array) -> list[pa.Array]:
+        ids = _ids_of(own, texts)
+        return [pa.array([i.tobytes() for i in ids], pa.binary()), pa.array(map(len, ids), pa.int64())]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(path, pattern)
-        for batch in batches:
-            bodies, counts = [], []
-            for text in batch.column(0):
-                ids = own.encode(text.as_py() or "")
-                bodies.append(ids.tobytes())
-                counts.append(len(ids))
-            columns = [*batch.columns[1:], pa.array(bodies, pa.binary()), pa.array(counts, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[1:], "ids", "n_tokens"])
-
-    types = dict(docs.dtypes)
-    schema = ", ".join([*[f"_{i} {types[c]}" for i, c in enumerate(kept)], "ids binary, n_tokens long"])
-    out = ordered.mapInArrow(run, schema)
-    return out.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(kept)], "ids", "n_tokens")
+    kept = _others(docs, "ids", "n_tokens", *([] if keep_text else [text_col]))
+    return _mapped(docs, text_col, kept, "ids binary, n_tokens long", step, path, pattern)
 
 
 def decode(df: DataFrame, path: str, pattern: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """Add ``decoded``, the text of packed ``ids``. Null ids decode to the empty text; a column ``decoded`` is replaced."""
     kept = _others(df, out_col)
-    ordered = df.select(F.col(ids_col).alias("_packed"), *[F.col(c).alias(f"_{i}") for i, c in enumerate(kept)])
+    out = _mapped(df, ids_col, kept, "_decoded string", lambda own, ids: [_texts_of(own, ids.to_pylist())], path, pattern)
+    return out.withColumnRenamed("_decoded", out_col)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(path, pattern)
-        for batch in batches:
-            texts = []
-            for body in batch.column(0):
-                ids = array("I")
-                ids.frombytes(body.as_py() or b"")
-                texts.append(own.decode(ids))
-            columns = [*batch.columns[1:], pa.array(texts, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[1:], "decoded"])
 
-    types = dict(df.dtypes)
-    schema = ", ".join([*[f"_{i} {types[c]}" for i, c in enumerate(kept)], "decoded string"])
-    out = ordered.mapInArrow(run, schema)
-    return out.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(kept)], F.col("decoded").alias(out_col))
+def round_trip(docs: DataFrame, path: str, pattern: str, text_col: str = "text", keep_text: bool = True) -> DataFrame:
+    """``encode`` and ``decode`` of its ids in one pass: adds ``ids``, ``n_tokens`` and ``decoded``.
+
+    One after the other, the two need a Python worker each for every task, and as many tables.
+    """
+    def step(own: Codec, texts: pa.Array) -> list[pa.Array]:
+        packed = [i.tobytes() for i in _ids_of(own, texts)]
+        counts = pa.array([len(body) // 4 for body in packed], pa.int64())
+        return [pa.array(packed, pa.binary()), counts, _texts_of(own, packed)]
+
+    kept = _others(docs, "ids", "n_tokens", "decoded", *([] if keep_text else [text_col]))
+    return _mapped(docs, text_col, kept, "ids binary, n_tokens long, decoded string", step, path, pattern)

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tasklens.llm import words as W
+from tasklens.llm.resident import vacate
 
 SLOTS = 1 << 18
 # Labelled rows that training may read, those with the smallest hash of their id.
@@ -39,7 +40,10 @@ def _shapes(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     out, row, rows = [], 0, len(offsets) - 1
     for row, end in W.row_slices(column, 1 << 20):
         part = data[offsets[row] : offsets[end]]
-        out.append(_shape_slice(part, offsets[row : end + 1] - offsets[row]))
+        if len(part) > W.SLICE_BYTES:
+            out += [_shape_slice(part[a:b], np.array([0, b - a])) for a, b in W.stretches(part, W.SLICE_BYTES)]
+        else:
+            out.append(_shape_slice(part, offsets[row : end + 1] - offsets[row]))
     return np.concatenate(out) if rows and out else np.zeros(0, np.uint64)
 
 
@@ -138,6 +142,7 @@ def train_quality(
     dealt = texts.select(F.pmod(F.xxhash64("_id", F.lit(1)), F.lit(shares)).cast("int").alias("share"), "_id", "text", "label")
 
     def learn(table: pa.Table) -> pa.Table:
+        vacate()
         order = table.sort_by([("_id", "ascending"), ("text", "ascending")])
         examples = _examples(order, slots)
         shuffled = np.random.default_rng(7).permutation(len(examples))
@@ -166,13 +171,16 @@ def score_quality(docs: DataFrame, weights: np.ndarray, text_col: str = "text",
     """
     sent = docs.sparkSession.sparkContext.broadcast(weights)
     kept = [c for c in docs.columns if c not in ("score", "predicted")]
-    ordered = docs.select(F.col(text_col).alias("_scored_text"), *[F.col(c).alias(f"_{i}") for i, c in enumerate(kept)])
+    # The text travels once, as the column it is.
+    ordered = docs.select(*[F.col(c).alias(f"_{i}") for i, c in enumerate(kept)])
+    place = kept.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vacate()
         own = sent.value
         for batch in batches:
-            scores = pa.array(score_texts(batch.column(0), own), pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], scores], names=[*batch.schema.names[1:], "score"])
+            scores = pa.array(score_texts(batch.column(place), own), pa.float64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, scores], names=[*batch.schema.names, "score"])
 
     types = dict(docs.dtypes)
     schema = ", ".join([*[f"_{i} {types[c]}" for i, c in enumerate(kept)], "score double"])

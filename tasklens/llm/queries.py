@@ -100,8 +100,7 @@ def vocabulary() -> tuple[str, str]:
 @query("op9_byte_bpe")
 def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path, pattern = vocabulary()
-    encoded = bpe.encode(read(spark, folder, "documents").select("doc_id", "text"), path, pattern, keep_text=False)
-    decoded = bpe.decode(encoded, path, pattern)
+    decoded = bpe.round_trip(read(spark, folder, "documents").select("doc_id", "text"), path, pattern, keep_text=False)
     return decoded.select(
         "doc_id",
         "n_tokens",

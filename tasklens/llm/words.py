@@ -11,6 +11,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
+# Bytes of text that are hashed at a time; tables of powers are as long.
+SLICE_BYTES = 1 << 20
+
 SEPARATORS = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 
 _IS_WORD = np.ones(256, bool)
@@ -41,16 +44,21 @@ _inverse = np.ones(1, np.uint64)
 
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd base and of its inverse, at least ``n`` of each; kept and grown as needed."""
+    """Powers of an odd base and of its inverse, at least ``n`` of each; kept and grown up to a slice's length.
+
+    Only a single word longer than a slice needs more, and those are not kept.
+    """
     global _powers, _inverse
-    if len(_powers) < n:
-        size = 1 << max(16, (n - 1).bit_length())
-        inverse = pow(_BASE, -1, 2**64)
-        for base, name in ((_BASE, "_powers"), (inverse, "_inverse")):
-            table = np.full(size, base, np.uint64)
-            table[0] = 1
-            globals()[name] = np.multiply.accumulate(table)
-    return _powers, _inverse
+    if len(_powers) >= n:
+        return _powers, _inverse
+    tables = []
+    for base in (_BASE, pow(_BASE, -1, 2**64)):
+        table = np.full(1 << max(16, (n - 1).bit_length()), base, np.uint64)
+        table[0] = 1
+        tables.append(np.multiply.accumulate(table))
+    if len(tables[0]) <= 2 * SLICE_BYTES:
+        _powers, _inverse = tables
+    return tables[0], tables[1]
 
 
 def text_buffers(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -90,17 +98,39 @@ class Words:
         return np.repeat(self.first[1:], self.counts) - np.arange(len(self.hash))
 
 
-def hash_words(column: pa.Array | pa.ChunkedArray, lower: bool = False, slice_bytes: int = 1 << 20) -> Words:
-    """The words of every row of a text column. ``lower`` folds A-Z; long columns are hashed slice by slice."""
+def stretches(data: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Bounds of stretches of about ``most`` bytes; each but the last ends at a separator, so no word is cut."""
+    start = 0
+    while start < len(data):
+        end = start + most
+        while end < len(data):
+            gap = ~_IS_WORD[data[end : end + 4096]]
+            if gap.any():
+                end += int(gap.argmax())
+                break
+            end += 4096
+        end = min(end, len(data))
+        yield start, end
+        start = end
+
+
+def hash_words(column: pa.Array | pa.ChunkedArray, lower: bool = False, slice_bytes: int = SLICE_BYTES) -> Words:
+    """The words of every row of a text column. ``lower`` folds A-Z; long columns and long texts are hashed in slices."""
     data, offsets = text_buffers(column)
     counts, hashes = [], []
     row, rows = 0, len(offsets) - 1
     while row < rows:
         end = int(np.searchsorted(offsets, offsets[row] + slice_bytes, side="right")) - 1
         end = min(rows, max(end, row + 1))
-        part = _hash_slice(data[offsets[row] : offsets[end]], offsets[row : end + 1] - offsets[row], lower)
-        counts.append(part.counts)
-        hashes.append(part.hash)
+        own = data[offsets[row] : offsets[end]]
+        if len(own) > slice_bytes:
+            parts = [_hash_slice(own[a:b], np.array([0, b - a]), lower) for a, b in stretches(own, slice_bytes)]
+            counts.append(np.array([sum(len(p) for p in parts)]))
+            hashes += [p.hash for p in parts]
+        else:
+            part = _hash_slice(own, offsets[row : end + 1] - offsets[row], lower)
+            counts.append(part.counts)
+            hashes.append(part.hash)
         row = end
     first = np.zeros(rows + 1, np.int64)
     if counts:

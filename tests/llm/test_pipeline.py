@@ -88,7 +88,7 @@ def test_stages_take_empty_tables_and_null_rows(spark, sf, staged):
 def test_the_pipeline_is_registered():
     assert "pipeline" in entry_points.queries()
     found = {int(m[1]) for k in entry_points.queries() if (m := re.match(r"op(\d+)_", k))}
-    assert found == set(range(1, 11))
+    assert found == set(range(1, 14))
 
 
 def test_sharding_stays_out_of_python(spark, sf):
