@@ -21,7 +21,8 @@ def retry_candidates(ids: DataFrame) -> DataFrame:
     """The ids each command may retry: its first ones in order, up to its cap.
 
     ``ids(command_id, position, task_id, max_ids)``; ``max_ids`` is the command's own limit. The hard cap stands as a constant
-    next to the rank, so Spark cuts every command to that many ids before the shuffle, however many one asks for.
+    next to the rank, so Spark cuts every command to that many ids before the shuffle, however many one asks for (with the
+    ``windowGroupLimitThreshold`` of ``build_session``; Spark's own stops at 1,000).
     """
     first = W.partitionBy("command_id").orderBy("position")
     ranked = ids.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= K.BULK_RETRY_HARD_CAP)

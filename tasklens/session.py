@@ -16,6 +16,8 @@ _DEFAULTS = {
     # The JVM leaves methods over 8000 bytes uncompiled. Wide mappings exceed that as one whole-stage method, and
     # run several times faster as a chain of small ones.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Ranks that are cut at the hard cap of a command are cut before the shuffle too.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "10000",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Checkpoint files go when the tables made of them are gone.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
