@@ -3,8 +3,9 @@
 A window partitioned by a key puts every row of that key into one task. That is right for ordinary keys and
 fatal for a hot one. ``running`` therefore counts the keys first, at any size of input: an aggregate that reads the key
 columns alone and is combined map-side. Keys within the row budget use one window and so one shuffle. Rows of keys above it
-are range-partitioned on ``(key, order)``, which cuts a hot key into consecutive chunks; each chunk computes its own running
-value, and a carry-in per (key, chunk) joins the pieces. Both ways give the same rows.
+are range-partitioned and sorted on ``(key, order)``; every so many rows of a partition are a chunk, which cuts a hot key
+into consecutive pieces within the budget. Each computes its own running value, and a carry-in per (key, chunk) joins the
+pieces. There are as many partitions as the rows need, however small the budget is. Both ways give the same rows.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from tasklens.session import stored
 
 # Rows of one key that one task may hold.
 KEY_ROW_BUDGET = 5_000_000
+# Rows that a task sorts, where keys are cut up.
+SORTED_ROWS = 1_000_000
 # Broadcast key lists only up to this many rows.
 BROADCAST_ROWS = 100_000
 
@@ -63,9 +66,7 @@ def running(
         hot = F.broadcast(hot)
     is_hot = _same([F.col(k) for k in keys], [F.col(f"_hot{i}") for i in range(len(keys))])
     cold_part = _by_window(df.join(hot, is_hot, "left_anti"), keys, order, levels)
-    hot_part = _by_chunks(
-        df.join(hot, is_hot, "left_semi"), keys, order, levels, chunks=2 * math.ceil(n_rows / budget)
-    )
+    hot_part = _by_chunks(df.join(hot, is_hot, "left_semi"), keys, order, levels, budget, n_rows)
     return cold_part.unionByName(hot_part)
 
 
@@ -83,9 +84,18 @@ def _by_window(df, keys, order, levels) -> DataFrame:
     return df
 
 
-def _by_chunks(df, keys, order, levels, chunks: int) -> DataFrame:
+def _by_chunks(df, keys, order, levels, budget: int, n_rows: int) -> DataFrame:
+    # Tasks for the rows, not for the chunks: a small budget makes many chunks in a partition, not many partitions.
+    least = math.ceil(n_rows / min(SORTED_ROWS, budget))
+    spread = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(n_rows / SORTED_ROWS))
+    rows = df.repartitionByRange(min(least, spread), *keys, *order).sortWithinPartitions(*keys, *order)
+    # The number of a row is its partition's in the upper bits and its place in the lower 33: both in order.
+    number, place_bits = F.col("_number"), 33
+    in_place = F.floor(number.bitwiseAND((1 << place_bits) - 1) / budget)
+    chunk = F.shiftleft(F.shiftright(number, place_bits), place_bits) + in_place
+    rows = rows.withColumn("_number", F.monotonically_increasing_id()).withColumn("_chunk", chunk).drop("_number")
     # The chunk of a row must not change when a task is run again, so the rows are fixed first.
-    rows = stored(df.repartitionByRange(chunks, *keys, *order).withColumn("_chunk", F.spark_partition_id()), "chunks")
+    rows = stored(rows, "chunks")
     in_chunk = W.partitionBy(*keys, "_chunk").orderBy(*order)
     before = W.partitionBy(*keys).orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
     place = F.struct(*order)

@@ -185,3 +185,21 @@ def test_other_uses_of_hot_keys(spark):
     kept = dedupe_transitions(events)
     # Events without a task id are no copies of each other.
     assert kept.filter("task_id = ''").count() == events.filter("task_id = ''").count()
+
+
+def test_a_small_budget_makes_no_partitions_of_its_own(spark):
+    """A hot key is cut into chunks within the budget, in tasks as many as the rows need."""
+    rows = spark.range(4000).select((F.col("id") % 5).alias("key"), F.col("id").alias("at"))
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup("cut")
+    spark.sparkContext.setJobGroup("cut", "cut")
+    try:
+        total = running(rows, ["key"], ("at",), [[Running("total", F.lit(1), "sum")]], key_row_budget=2)
+        got = {(r.key, r.at): r.total for r in total.collect()}
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        spark.sparkContext.setLocalProperty("spark.job.description", None)
+    tracker = spark.sparkContext.statusTracker()
+    stages = {s for job in set(tracker.getJobIdsForGroup("cut")) - set(before) for s in tracker.getJobInfo(job).stageIds}
+    assert got == {(i % 5, i): i // 5 + 1 for i in range(4000)}
+    tasks = [info.numTasks for info in map(tracker.getStageInfo, stages) if info]
+    assert tasks and max(tasks) <= 64
