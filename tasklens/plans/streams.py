@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tasklens.operators.envelope import route_event_types
 from tasklens.plans.catalog import SIGNALS_SQL, canonical, canonical_signals, cut, joined, named_sql, query, scrubbed
 from tasklens.schemas import ENVELOPE, RAW_EVENT
-from tasklens.session import checkpointed, new_folder, stored
+from tasklens.session import new_folder, stored
 from tasklens.sources.readers import stream_task_events, with_instant
 from tasklens.sources.views import metadata, view
 from tasklens.streaming import runs as S
@@ -26,11 +26,35 @@ def _raw(spark, folder):
 _FIELDS = ("type", "uuid", "name", "hostname", "runtime", "exception", "result", "traceback", "terminated", "signum", "expired")
 
 
+def _append_in_order(rows, purpose, file_rows, numbers=None, clock=None):
+    """``rows`` as files in the order of their numbers ``file``: the folder, and how many files a batch has.
+
+    Each number (of ``numbers``, if given) is as many files as the largest needs, so that many tasks read a batch and it still
+    ends where its number does. ``clock`` rows come last. The source takes files in the order of their times.
+    """
+    spark, schema = rows.sparkSession, rows.drop("file").schema
+    parts, path = new_folder(spark, f"{purpose}-parts"), new_folder(spark, purpose)
+    rows.filter(F.col("file").isNotNull()).write.partitionBy("file").parquet(parts)
+    held = spark.read.schema(rows.schema).parquet(parts)
+    counts = {r["file"]: r["count"] for r in held.groupBy("file").count().collect()}
+    each = max([1, *[-(-n // file_rows) for n in counts.values()]])
+    for number in sorted(counts) if numbers is None else numbers:
+        own = held.filter(F.col("file") == number).drop("file")
+        # Where some of the files could come out empty, and so not at all, all rows are in one.
+        spread = counts.get(number, 0) >= 100 * each
+        (own.repartition(each) if spread else own.coalesce(1)).write.mode("append").parquet(path)
+        for _ in range(0 if spread else each - 1):
+            spark.createDataFrame([], schema).coalesce(1).write.mode("append").parquet(path)
+    if clock is not None:
+        spark.createDataFrame(clock, schema).coalesce(1).write.mode("append").parquet(path)
+    return path, each
+
+
 def write_envelopes(spark, folder, plain=False):
-    """The raw events as envelopes in arrival order, one file per batch to come; some are delivered again a file later.
+    """The raw events as envelopes in arrival order, a number of files per batch to come; some are delivered again a batch later.
 
     Poisoned elements are what is no event. The last file has a clock row far ahead, so that nothing waits for more.
-    ``plain`` leaves out what is delivered again, and the clock.
+    ``plain`` leaves out what is delivered again, and the clock. Returns the folder and the number of files in a batch.
     """
     rows = view(spark, folder, "arrivals")
     seconds = (F.unix_micros(F.col("event_ts").cast("timestamp")) / 1_000_000).alias("timestamp")
@@ -39,20 +63,18 @@ def write_envelopes(spark, folder, plain=False):
         F.max("event_ts").alias("ingest_ts"), F.array_sort(F.collect_list(F.struct("pos", body.alias("body")))).alias("items")
     )
     messages = messages.withColumn("body", F.concat(F.lit("["), F.array_join("items.body", ","), F.lit("]"))).drop("items")
-    again = messages.filter("message_id % 7 = 3").withColumn("file", F.col("file") + 1)
-    messages = checkpointed(messages if plain else messages.unionByName(again))
-    path = new_folder(spark, "envelopes")
-    for (i,) in messages.select("file").distinct().orderBy("file").collect():
-        # The source takes files in the order of their times.
-        messages.filter(F.col("file") == i).drop("file").coalesce(1).write.mode("append").parquet(path)
-    if not plain:
-        clock = [(-1, None, '{"type": "clock", "timestamp": 4102444800}')]
-        spark.createDataFrame(clock, ENVELOPE).coalesce(1).write.mode("append").parquet(path)
-    return path
+    if plain:
+        return _append_in_order(messages, "envelopes", 20_000)
+    files = F.when(F.expr("message_id % 7 = 3"), F.array("file", F.col("file") + 1)).otherwise(F.array("file"))
+    clock = [(-1, None, '{"type": "clock", "timestamp": 4102444800}')]
+    # In the order of ENVELOPE, which the clock rows have.
+    sent = messages.select("message_id", "ingest_ts", "body", F.explode(files).alias("file"))
+    return _append_in_order(sent, "envelopes", 20_000, clock=clock)
 
 
 def _envelopes(spark, folder, plain=False):
-    return stream_task_events(spark, write_envelopes(spark, folder, plain), schema=ENVELOPE, maxFilesPerTrigger=1)
+    path, files = write_envelopes(spark, folder, plain)
+    return stream_task_events(spark, path, schema=ENVELOPE, maxFilesPerTrigger=files)
 
 
 def _naive(*names):
@@ -205,12 +227,9 @@ def _capture_stream(spark, events, name):
     last = rows.agg(F.max("_n")).first()[0] + 100
     # Arrival is out of order within about a hundred events.
     placed = rows.withColumn("file", F.floor((F.col("_n") + F.col("_n") * 7919 % 97) * 6 / last).cast("int")).drop("_n")
-    path = new_folder(spark, "capture-files")
-    for i in range(6):
-        placed.filter(F.col("file") == i).drop("file").coalesce(1).write.mode("append").parquet(path)
     clock = [(f"clock {name}", "", "clock", datetime(2100, 1, 1), name)]
-    spark.createDataFrame(clock, slim.schema).coalesce(1).write.mode("append").parquet(path)
-    return with_instant(stream_task_events(spark, path, schema=slim.schema, maxFilesPerTrigger=1))
+    path, files = _append_in_order(placed, "capture-files", 100_000, range(6), clock)
+    return with_instant(stream_task_events(spark, path, schema=slim.schema, maxFilesPerTrigger=files))
 
 
 @query(

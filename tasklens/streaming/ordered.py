@@ -4,15 +4,19 @@ A task's name depends on the order of its events, and a stream delivers them in
 holds every event until the watermark has passed it, and then names a task's events in their own order. What comes later
 than the watermark allows is too late to be named, and Spark drops it.
 
-State per task: the events of a time slot stand in one of a ring of list states, so that giving out a slot reads that slot
-and not all that the task has waiting; an event-time timer stands at the end of each slot in use; the remembered name is
-a value of its own. No list holds a whole task.
+Each call on the state store and each value in it costs far more than a row does. So tasks are dealt over a fixed number of
+groups, by a hash, and state is kept per group, of rows packed by the thousand: the events of a time slot stand in one of a ring of list states, so that giving out a slot reads that
+slot and not all that is waiting; an event-time timer stands at the end of each slot in use; the remembered names are a list,
+read and written once for all tasks of the group that are due. More groups make these lists shorter.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from datetime import UTC, datetime
+from itertools import groupby
+from operator import itemgetter
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -22,8 +26,12 @@ from pyspark.sql.types import StructField, StructType
 from tasklens import constants as K
 from tasklens.functions.names import present
 
-# Lists that a task's waiting events are dealt over, by time slot.
+# Lists that a group's waiting events are dealt over, by time slot.
 RING = 4
+# Groups that tasks are dealt over; fixed for the life of a query, as its state partitions are.
+GROUPS = 512
+# Rows of a slot that are one value of the state.
+_AT_A_TIME = 1000
 # When a slot is settled: the event time of its rows from then on.
 SETTLED = "settled_at"
 _AT = "_at_us"
@@ -31,7 +39,7 @@ _AT = "_at_us"
 
 class _NamesInOrder(StatefulProcessor):
     def __init__(self, held: StructType, order: tuple[str, ...], slot_ms: int, remember_ms: int | None) -> None:
-        self._held, self._columns = held, held.fieldNames()
+        self._columns = held.fieldNames()
         self._slot_ms, self._remember_ms = slot_ms, remember_ms
         self._named = Row(*self._columns, "carried_name", SETTLED)
         self._order = [self._columns.index(c) for c in (_AT, *order)]
@@ -40,65 +48,87 @@ class _NamesInOrder(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
-        self._lists = [handle.getListState(f"waiting{i}", self._held) for i in range(RING)]
+        self._lists = [handle.getListState(f"waiting{i}", "slot long, packed binary") for i in range(RING)]
         self._slots = handle.getValueState("slots", "slots array<long>")
-        self._name = handle.getValueState("name", "name string, until_ms long")
+        self._names = handle.getListState("names", "uuid string, name string, until_ms long")
 
     def _slot(self, held: tuple) -> int:
         return held[self._at] // 1000 // self._slot_ms
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         found: dict[int, list[tuple]] = {}
+        seen: set[int] = set()
+        columns = None
         for row in rows:
-            held = tuple(row[c] for c in self._columns)
+            columns = columns or itemgetter(*map(row.__fields__.index, self._columns))
+            held = columns(row)
             slot = self._slot(held)
-            found.setdefault(slot, []).append(held)
-            # Rows of a slot reach the state some at a time.
-            if len(found[slot]) >= 1000:
+            waiting = found.get(slot)
+            if waiting is None:
+                waiting = found[slot] = []
+                seen.add(slot)
+            waiting.append(held)
+            if len(waiting) >= _AT_A_TIME:
                 self._wait(slot, found.pop(slot))
-        for slot, held in found.items():
-            self._wait(slot, held)
+        for slot, waiting in found.items():
+            self._wait(slot, waiting)
+        known = self._slots.get()
+        before = set(known[0]) if known else set()
+        if seen - before:
+            self._slots.update((sorted(seen | before),))
+            for slot in sorted(seen - before):
+                self._handle.registerTimer((slot + 1) * self._slot_ms)
         return iter(())
 
-    def _wait(self, slot: int, held: list[tuple]) -> None:
-        self._lists[slot % RING].appendList(held)
-        known = self._slots.get()
-        slots = list(known[0]) if known else []
-        if slot not in slots:
-            self._slots.update((sorted([*slots, slot]),))
-            self._handle.registerTimer((slot + 1) * self._slot_ms)
+    def _wait(self, slot: int, rows: list[tuple]) -> None:
+        self._lists[slot % RING].appendValue((slot, pickle.dumps(rows, pickle.HIGHEST_PROTOCOL)))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         now = expiredTimerInfo.getExpiryTimeInMs()
         known = self._slots.get()
         slots = list(known[0]) if known else []
+        before = {task: (name, until) for task, name, until in self._names.get()}
+        names = dict(before)
         # Slots are given out in order, whichever timer is told first.
         for slot in [s for s in slots if (s + 1) * self._slot_ms <= now]:
-            yield from self._give(slot)
+            yield from self._give(slot, names)
             slots.remove(slot)
-        if not slots:
-            self._slots.clear()
-        elif known and len(slots) < len(known[0]):
-            self._slots.update((slots,))
-        name = self._name.get()
-        if name and name[1] is not None and name[1] <= now:
-            self._name.clear()
-
-    def _give(self, slot: int) -> Iterator[Row]:
+        if known and len(slots) < len(known[0]):
+            if slots:
+                self._slots.update((slots,))
+            else:
+                self._slots.clear()
+        names = {task: name for task, name in names.items() if name[1] is None or name[1] > now}
+        if names and names != before:
+            self._names.put([(task, *name) for task, name in names.items()])
+        elif before and not names:
+            self._names.clear()
+
+    def _give(self, slot: int, names: dict[str, tuple]) -> Iterator[Row]:
         ring = self._lists[slot % RING]
         due, other = [], []
-        for held in ring.get():
-            (due if self._slot(held) == slot else other).append(tuple(held))
+        for of, packed in ring.get():
+            if of == slot:
+                due += pickle.loads(packed)
+            else:
+                other.append((of, packed))
         if other:
             ring.put(other)
         else:
             ring.clear()
-        due.sort(key=lambda held: tuple((held[i] is not None, held[i]) for i in self._order))
-        known = self._name.get()
-        before = memory = tuple(known) if known else None
+        due.sort(key=lambda held: (held[self._task] or "", tuple([(held[i] is not None, held[i]) for i in self._order])))
         settled = datetime.fromtimestamp((slot + 1) * self._slot_ms / 1000 + 0.001, UTC)
+        for task, events in groupby(due, key=lambda held: held[self._task] or ""):
+            yield from self._name_task(task, events, settled, names)
+        if self._remember_ms is not None and names:
+            # By then all names that this slot gave are over.
+            self._handle.registerTimer((slot + 1) * self._slot_ms + self._remember_ms)
+
+    def _name_task(self, task: str, events: Iterator[tuple], settled: datetime, names: dict[str, tuple]) -> Iterator[Row]:
+        """The events of one task (or all those without one), in order, with their names."""
+        memory = names.pop(task, None)
         last = given = None
-        for held in due:
+        for held in events:
             at_ms = held[self._at] // 1000
             if held[self._id] != last:
                 # A copy of an event is named like it and changes nothing.
@@ -107,16 +137,12 @@ class _NamesInOrder(StatefulProcessor):
                 given = held[self._own] or (memory[0] if memory else None)
                 if held[self._kind] in K.TERMINAL_KINDS:
                     memory = None
-                elif held[self._kind] == "started" and held[self._own] and held[self._task]:
+                elif held[self._kind] == "started" and held[self._own] and task:
                     memory = (held[self._own], None if self._remember_ms is None else at_ms + self._remember_ms)
             last = held[self._id]
             yield self._named(*held, given, settled)
-        if memory and memory != before:
-            self._name.update(memory)
-            if memory[1] is not None:
-                self._handle.registerTimer(memory[1])
-        elif before and not memory:
-            self._name.clear()
+        if memory:
+            names[task] = memory
 
     def close(self) -> None: ...
 
@@ -131,23 +157,26 @@ def named_in_order(
     slot: str = "1 hour",
     remember: str | None = "30 days",
     order: tuple[str, ...] = ("event_id",),
+    groups: int = GROUPS,
 ) -> DataFrame:
     """``carry_task_name`` for a stream in any order: adds ``carried_name``, and ``settled_at`` as the new event time.
 
     ``events`` has ``event_id, event_ts (an instant), uuid, kind, name`` and any other columns. Events of a task are named by
     (``event_ts``, ``order``) once the watermark, ``delay`` behind the newest event, has passed their ``slot``; ``settled_at`` is
     its end, for operators that follow. A name is forgotten ``remember`` after its start, if no end came. Copies of an
-    event are named like it. An event without a task id neither gives nor takes a name and waits alone. Rows of the kind
-    ``K.CLOCK`` move the watermark and are not given out. A row without a time cannot be placed and is left out.
+    event are named like it. An event without a task id neither gives nor takes a name. Rows of the kind ``K.CLOCK`` move the
+    watermark and are not given out. A row without a time cannot be placed and is left out. Tasks are dealt over ``groups``; a
+    slot of one group, and the names it remembers, are in memory when the slot is given out.
     """
     spark = events.sparkSession
     timed = events.filter(F.col("event_ts").isNotNull()).withWatermark("event_ts", delay)
     apart = F.concat(F.lit("\x00"), F.col("event_id").cast("string"))
-    keyed = timed.withColumns({_AT: F.unix_micros("event_ts"), "_key": F.coalesce(present(F.col("uuid")), apart)})
-    held = StructType([StructField(f.name, f.dataType) for f in keyed.schema if f.name not in ("event_ts", "_key")])
+    group = F.pmod(F.xxhash64(F.coalesce(present(F.col("uuid")), apart)), F.lit(groups))
+    keyed = timed.withColumns({_AT: F.unix_micros("event_ts"), "_group": group})
+    held = StructType([StructField(f.name, f.dataType) for f in keyed.schema if f.name not in ("event_ts", "_group")])
     out = StructType([*held]).add("carried_name", "string").add(SETTLED, "timestamp")
     remember_ms = None if remember is None else _milliseconds(spark, remember)
-    named = keyed.groupBy("_key").transformWithState(
+    named = keyed.groupBy("_group").transformWithState(
         _NamesInOrder(held, order, _milliseconds(spark, slot), remember_ms),
         outputStructType=out,
         outputMode="Append",

@@ -4,17 +4,20 @@ from __future__ import annotations
 
 import random
 
+from pyspark.sql import Row
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tasklens.operators.analytics import task_latest_state
 from tasklens.operators.envelope import mappable, route_event_types
 from tasklens.operators.naming import carry_task_name
 from tasklens.plans.catalog import canonical
+from tasklens.plans.streams import _append_in_order
 from tasklens.sources.readers import stream_task_events, with_instant
 from tasklens.sources.views import view
 from tasklens.streaming import runs as S
 from tasklens.streaming.late import counted_sessions, counted_windows
-from tasklens.streaming.ordered import named_in_order
+from tasklens.streaming.ordered import _NamesInOrder, named_in_order
 from tasklens.streaming.pairing import pair_captures
 
 
@@ -227,3 +230,71 @@ def test_appended_events_have_the_batch_layout(spark, sf, tmp_path):
     back = spark.read.parquet(str(tmp_path / "events"))
     assert set(back.columns) == {*canonical(spark, sf).columns, "event_date"}
     assert {r.kind for r in back.select("kind").distinct().collect()} == {"started", "failed"}
+
+
+def test_state_is_called_per_group_not_per_task():
+    """Hundreds of tasks of one group cost a few calls on the state, and each task keeps its own name."""
+    calls = []
+
+    class Kept:
+        """A list state and a value state in one, that counts what is asked of it."""
+
+        def __init__(self):
+            self.value = None
+
+        def get(self):
+            calls.append("get")
+            return self.value if self.single else iter(self.value or [])
+
+        def put(self, value):
+            calls.append("put")
+            self.value = value
+
+        update = put
+
+        def clear(self):
+            self.put(None)
+
+        def appendList(self, rows):
+            self.put([*(self.value or []), *rows])
+
+        def appendValue(self, row):
+            self.appendList([row])
+
+    class Handle:
+        def getListState(self, name, schema):
+            kept = Kept()
+            kept.single = False
+            return kept
+
+        def getValueState(self, name, schema):
+            kept = Kept()
+            kept.single = True
+            return kept
+
+        def registerTimer(self, at):
+            calls.append("timer")
+
+    class Expired:
+        def getExpiryTimeInMs(self):
+            return 3_600_000
+
+    held = StructType().add("event_id", "long").add("uuid", "string").add("kind", "string").add("name", "string").add("_at_us", "long")
+    processor = _NamesInOrder(held, ("event_id",), 3_600_000, None)
+    processor.init(Handle())
+    start, later = Row(*held.names), []
+    for task in range(300):
+        later += [start(2 * task, f"t{task}", "started", f"n{task}", 1000), start(2 * task + 1, f"t{task}", "retried", None, 2000)]
+    assert list(processor.handleInputRows((0,), iter(later), None)) == []
+    named = {r.event_id: r.carried_name for r in processor.handleExpiredTimer((0,), None, Expired())}
+    assert named == {i: f"n{i // 2}" for i in range(600)}
+    assert len(calls) < 30
+
+
+def test_a_batch_is_many_files_and_ends_with_its_number(spark):
+    rows = spark.range(4000).select("id", F.when(F.col("id") < 2500, 0).when(F.col("id") < 3990, 1).otherwise(3).alias("file"))
+    path, files = _append_in_order(rows.unionByName(spark.createDataFrame([(-2, None)], "id long, file int")), "files", 500, clock=[(-1,)])
+    assert files == 5
+    stream = stream_task_events(spark, path, schema="id long", maxFilesPerTrigger=files)
+    got = S.each_batch(stream, "batches", lambda batch: batch).groupBy("batch_id").agg(F.min("id"), F.max("id"), F.count("*")).collect()
+    assert sorted(map(tuple, got)) == [(0, 0, 2499, 2500), (1, 2500, 3989, 1490), (2, 3990, 3999, 10), (3, -1, -1, 1)]
