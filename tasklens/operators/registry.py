@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ast
+import math
 from collections.abc import Iterator
 
 import pandas as pd
@@ -33,23 +34,39 @@ def directory(path: Column) -> Column:
     return F.regexp_replace(path, r"/[^/]*$", "")
 
 
-def candidate_files(files: DataFrame, roots: DataFrame) -> DataFrame:
-    """The files of ``files(path, length, ...)`` that may declare tasks under a root of ``roots(root)``."""
+# What a partition of files may hold; a file counts as its length and what goes with it.
+_PARTITION_BYTES = 32 * 1024 * 1024
+_ROW_BYTES = 512
+
+
+def candidate_files(files: DataFrame, roots: DataFrame, listing: DataFrame | None = None) -> DataFrame:
+    """The files of ``files(path, length, ...)`` that may declare tasks under a root of ``roots(root)``.
+
+    The paths are chosen by themselves, from ``listing(path, length)`` where reading ``files`` is dear. What else a file has,
+    such as its content, is moved once, by path, into as many partitions as the lengths ask for, and sorted there alone.
+    """
     name, folder = file_name(F.col("path")), directory(F.col("path"))
     visible = (name == "__init__.py") | ~name.startswith("_")
-    in_package = (file_name(folder) == K.SOURCE_PACKAGE) & name.endswith(".py") & visible
-    owners = F.array_compact(
-        F.array(
-            F.when(name.isin(*K.SOURCE_FILE_NAMES), folder),
-            F.when(in_package, directory(folder)),
-        )
-    )
+    named_so = name.isin(*K.SOURCE_FILE_NAMES)
+    in_package = name.endswith(".py") & visible & (file_name(folder) == K.SOURCE_PACKAGE)
+    owners = F.array_compact(F.array(F.when(named_so, folder), F.when(in_package, directory(folder))))
+
+    def possible(rows: DataFrame) -> DataFrame:
+        return rows.filter((F.col("length") <= K.SOURCE_FILE_BYTES) & (named_so | in_package))
+
     named = roots.select(F.regexp_replace("root", "/+$", "").alias("_root")).distinct()
-    return (
-        files.filter(F.col("length") <= K.SOURCE_FILE_BYTES)
-        .withColumn("_owner", F.explode(owners))
+    listed = possible(files if listing is None else listing)
+    size = listed.agg(F.sum(F.col("length") + _ROW_BYTES)).first()[0] or 0
+    chosen = (
+        listed.select(F.col("path").alias("_path"), F.explode(owners).alias("_owner"))
         .join(named, F.col("_owner") == F.col("_root"), "left_semi")
-        .drop("_owner")
+        .select("_path")
+    )
+    least = files.sparkSession.sparkContext.defaultParallelism * 2
+    return (
+        possible(files)
+        .repartition(max(least, math.ceil(size / _PARTITION_BYTES)), "path")
+        .join(chosen, F.col("path") == F.col("_path"), "left_semi")
         .dropDuplicates(["path"])
     )
 

@@ -121,4 +121,4 @@ def scan_source_files(roots: DataFrame) -> DataFrame:
     from tasklens.operators.registry import candidate_files
 
     plain = roots.select(F.regexp_replace("root", "^file:/*", "/").alias("root"))
-    return candidate_files(list_source_files(roots), plain)
+    return candidate_files(list_source_files(roots), plain, list_source_files(roots, with_content=False))

@@ -7,7 +7,8 @@ import os
 from pyspark.sql import functions as F
 
 from tasklens import constants as K
-from tasklens.operators.registry import declared_registry, merge_registry
+from tasklens.operators import registry as R
+from tasklens.operators.registry import candidate_files, declared_registry, merge_registry
 from tasklens.plans.catalog import canonical
 from tasklens.sources import readers
 
@@ -83,6 +84,22 @@ def test_source_scan(spark, tmp_path):
     assert [r.name for r in merge_registry(declared_registry(files, listing)).collect()] == sorted(found)
 
 
+def test_contents_are_sorted_in_partitions_by_size_alone(spark, monkeypatch):
+    """Files in one partition are moved before anything sorts them; each path comes out once, whatever names it twice."""
+    rows = [(f"/a{i % 300}/tasks/tasks.py", 1000, bytes(50)) for i in range(600)] + [("/a1/tasks/deep/x.py", 9, b""), (None, 9, b"")]
+    files = spark.createDataFrame(rows, "path string, length long, content binary").coalesce(1)
+    # Both folders of a file are roots of every third.
+    roots = spark.createDataFrame([(f"/a{i}{end}",) for i in range(0, 300, 3) for end in ("", "/tasks/", "")], "root string")
+    monkeypatch.setattr(R, "_PARTITION_BYTES", 1512 * 6)
+    found = candidate_files(files, roots)
+    assert found.columns == ["path", "length", "content"]
+    assert sorted(r.path for r in found.collect()) == sorted(f"/a{i}/tasks/tasks.py" for i in range(0, 300, 3))
+    text = found._jdf.queryExecution().executedPlan().toString()
+    before, sort = text.rindex("REPARTITION_BY_NUM"), text.index("SortAggregate")
+    assert "hashpartitioning(path" in text and "SortAggregate" not in text[before:] and sort < before
+    assert found.rdd.getNumPartitions() == 100
+
+
 def test_json_keeps_microseconds(spark, tmp_path):
     df = spark.sql("SELECT 1L AS event_id, TIMESTAMP_NTZ '2024-01-01 00:00:07.179575' AS event_ts")
     readers.write_json(df, str(tmp_path / "j"))
