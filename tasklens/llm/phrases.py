@@ -245,7 +245,7 @@ def _frequent_bits(chunks_: DataFrame, sieve: Sieve, n: int, least: int) -> np.n
         low = hashes.astype(np.uint32)
         held, start = np.unique(bucket, return_index=True)
         rows = []
-        for b, lo, hi in zip(held.tolist(), start, np.append(start[1:], len(low)), strict=True):
+        for b, lo, hi in zip(held.tolist(), start, np.append(start, len(low))[1:], strict=True):
             # Most phrases occur once; those need no count.
             once = counts[lo:hi] == 1
             rows.append((b, low[lo:hi][once].tobytes(), low[lo:hi][~once].tobytes(), counts[lo:hi][~once].tobytes()))
