@@ -47,9 +47,16 @@ def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
 
 
 def stateful(spark: SparkSession) -> dict[str, str]:
-    """Settings for a query with state: RocksDB, and a state partition per core, as a query keeps its partitions for life."""
+    """Settings for a query with state: RocksDB, and a state partition per core, as a query keeps its partitions for life.
+
+    A batch stores what it changed, not the whole state. Rows of state are not counted, which would look each one up before
+    it is written, and a join keeps both sides of a partition in one store, not in four.
+    """
     return {
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+        "spark.sql.streaming.join.stateFormatVersion": "3",
         "spark.sql.shuffle.partitions": str(spark.sparkContext.defaultParallelism),
     }
 

@@ -185,6 +185,25 @@ def test_capture_paths_pair_up(spark, tmp_path):
     }
 
 
+def test_a_join_keeps_one_store_per_partition(spark, tmp_path):
+    """Both sides of a partition are in one store, whose rows are not looked up just to be counted."""
+    schema = "event_id string, task_id string, at long, kind string, capture string, file int"
+    rows = {n: [(f"{n}{i}", f"t{i}", i * 1_000_000, "failed", n, 0) for i in range(50)] for n in ("broker", "signal")}
+    streams = [_instants(_files(spark, r, schema, str(tmp_path / n))) for n, r in rows.items()]
+    with S.settings(spark, S.stateful(spark)):
+        run = (
+            pair_captures(*streams).writeStream.format("parquet")
+            .option("path", str(tmp_path / "out"))
+            .option("checkpointLocation", str(tmp_path / "checkpoint"))
+            .trigger(availableNow=True)
+            .start()
+        )
+        run.awaitTermination()
+    state = run.recentProgress[0]["stateOperators"][0]
+    assert state["numStateStoreInstances"] == state["numShufflePartitions"] == spark.sparkContext.defaultParallelism
+    assert state["numRowsTotal"] == 0
+
+
 def test_loss_per_batch(spark, tmp_path):
     """Envelopes that lose elements are counted as envelopes; nothing after a poisoned element is stored."""
     ok, sent = '{"type": "task-started", "uuid": "u"}', '{"type": "task-sent"}'
