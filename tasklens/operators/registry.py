@@ -44,6 +44,8 @@ def candidate_files(files: DataFrame, roots: DataFrame, listing: DataFrame | Non
 
     The paths are chosen by themselves, from ``listing(path, length)`` where reading ``files`` is dear. What else a file has,
     such as its content, is moved once, by path, into as many partitions as the lengths ask for, and sorted there alone.
+    Both joins are sorted ones: roots and paths grow with the files, and what Spark estimates them at, from the bytes of
+    compressed columns that they are computed from, says nothing of whether they fit the driver.
     """
     name, folder = file_name(F.col("path")), directory(F.col("path"))
     visible = (name == "__init__.py") | ~name.startswith("_")
@@ -59,14 +61,14 @@ def candidate_files(files: DataFrame, roots: DataFrame, listing: DataFrame | Non
     size = listed.agg(F.sum(F.col("length") + _ROW_BYTES)).first()[0] or 0
     chosen = (
         listed.select(F.col("path").alias("_path"), F.explode(owners).alias("_owner"))
-        .join(named, F.col("_owner") == F.col("_root"), "left_semi")
+        .join(named.hint("merge"), F.col("_owner") == F.col("_root"), "left_semi")
         .select("_path")
     )
     least = files.sparkSession.sparkContext.defaultParallelism * 2
     return (
         possible(files)
         .repartition(max(least, math.ceil(size / _PARTITION_BYTES)), "path")
-        .join(chosen, F.col("path") == F.col("_path"), "left_semi")
+        .join(chosen.hint("merge"), F.col("path") == F.col("_path"), "left_semi")
         .dropDuplicates(["path"])
     )
 

@@ -100,6 +100,19 @@ def test_contents_are_sorted_in_partitions_by_size_alone(spark, monkeypatch):
     assert found.rdd.getNumPartitions() == 100
 
 
+def test_roots_and_paths_never_go_whole_to_the_driver(spark, tmp_path):
+    """However small Spark takes the tables to be, neither join of the choice is a broadcast; nulls and copies change nothing."""
+    rows = [(f"/a{i % 40}/tasks.py", 10) for i in range(80)] + [("/a1/tasks/mail.py", 10), ("/a2/models.py", 10), (None, 10), ("/a3/celery.py", None)]
+    spark.createDataFrame(rows, "path string, length long").write.parquet(str(tmp_path / "files"))
+    files = spark.read.parquet(str(tmp_path / "files"))
+    roots = spark.createDataFrame([("/a1",), ("/a2/",), ("/a2",), (None,), ("/missing",)], "root string")
+    for listing in (None, files):
+        found = candidate_files(files, roots, listing)
+        assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+        assert sorted(found.collect()) == [("/a1/tasks.py", 10), ("/a1/tasks/mail.py", 10), ("/a2/tasks.py", 10)]
+        assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_json_keeps_microseconds(spark, tmp_path):
     df = spark.sql("SELECT 1L AS event_id, TIMESTAMP_NTZ '2024-01-01 00:00:07.179575' AS event_ts")
     readers.write_json(df, str(tmp_path / "j"))
