@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import pandas as pd
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -17,7 +18,7 @@ from tasklens.sources.readers import stream_task_events, with_instant
 from tasklens.sources.views import view
 from tasklens.streaming import runs as S
 from tasklens.streaming.late import counted_sessions, counted_windows
-from tasklens.streaming.ordered import _NamesInOrder, named_in_order
+from tasklens.streaming.ordered import _NamesInFrames, _NamesInOrder, named_in_order
 from tasklens.streaming.pairing import pair_captures
 
 
@@ -310,6 +311,149 @@ def test_state_is_called_per_group_not_per_task():
     assert len(calls) < 30
 
 
+class _Store:
+    """The state of one group, and what was asked of it."""
+
+    def __init__(self):
+        self.calls, self.timers = [], []
+
+    def _kept(self, name, single):
+        store = self
+
+        class Kept:
+            value = None if single else ()
+
+            def get(self):
+                store.calls.append((name, "get"))
+                return self.value if single else iter(self.value)
+
+            def update(self, value):
+                store.calls.append((name, "put"))
+                self.value = value
+
+            put = update
+
+            def clear(self):
+                self.update(None if single else ())
+
+            def appendValue(self, row):
+                self.update((*self.value, row))
+
+        return Kept()
+
+    def getListState(self, name, schema):
+        return self._kept(name, False)
+
+    def getValueState(self, name, schema):
+        return self._kept(name, True)
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+
+class _Time:
+    def __init__(self, at):
+        self.at = at
+
+    def getExpiryTimeInMs(self):
+        return self.at
+
+    getCurrentWatermarkInMs = getExpiryTimeInMs
+
+
+_HELD = StructType().add("event_id", "long").add("uuid", "string").add("kind", "string").add("name", "string").add("_at_us", "long").add("place", "long")
+
+
+def _named_one_by_one(rows, slot_ms, remember_ms):
+    """What each row (by its place) is named, by a walk over all of a group's rows; they come in the order of arrival."""
+    out, names = {}, {}
+    for slot in sorted({r[4] // 1000 // slot_ms for r in rows}):
+        due = [(i, r) for i, r in enumerate(rows) if r[4] // 1000 // slot_ms == slot]
+        due.sort(key=lambda x: (x[1][1] or "", x[1][4], x[1][0] is not None, x[1][0] or 0))
+        at_task, last, given = None, None, None
+        for i, (event, task, kind, name, at) in due:
+            if (task or "") != at_task:
+                at_task, last, given = task or "", None, None
+            memory = names.get(at_task)
+            if event != last:
+                if memory and memory[1] is not None and memory[1] <= at // 1000:
+                    memory = None
+                given = name or (memory[0] if memory else None)
+                if kind in ("succeeded", "failed", "revoked"):
+                    memory = None
+                elif kind == "started" and name and at_task:
+                    memory = (name, None if remember_ms is None else at // 1000 + remember_ms)
+                names[at_task] = memory
+            last, out[i] = event, given
+    return out
+
+
+def test_names_by_columns_are_names_one_by_one():
+    rng = random.Random(5)
+    hour = 3_600_000
+    for remember in (None, 90 * 60_000):
+        for _ in range(40):
+            rows = []
+            for i in range(rng.randint(1, 90)):
+                kind = rng.choice(["started", "started", "retried", "succeeded", "failed", None])
+                name = rng.choice(["a", "b", "", None])
+                rows.append((rng.choice([i, i, i, None]), rng.choice(["t", "u", "v", "", None]), kind, name, rng.randint(-5, 40) * 600_000_000))
+            rows += [rows[rng.randrange(len(rows))] for _ in range(10)]
+            rng.shuffle(rows)
+            store, got = _Store(), {}
+            processor = _NamesInOrder(_HELD, ("event_id",), hour, remember)
+            processor.init(store)
+            row = Row(*_HELD.names)
+            # Slots that are over come out before later ones arrive.
+            for times in (range(-6, 12), range(12, 24), range(24, 60)):
+                arriving = [row(*r, i) for i, r in enumerate(rows) if r[4] // 600_000_000 in times]
+                if arriving:
+                    assert list(processor.handleInputRows((0,), iter(arriving), None)) == []
+                mark = times.stop // 6 * hour
+                for at in sorted(t for t in store.timers if t <= mark):
+                    for r in processor.handleExpiredTimer((0,), _Time(mark), _Time(at)):
+                        got[r.place] = r.carried_name
+                        assert r.settled_at.timestamp() * 1000 == (r._at_us // 1000 // hour + 1) * hour + 1
+                store.timers = [t for t in store.timers if t > mark]
+            assert got == _named_one_by_one(rows, hour, remember)
+
+
+def test_names_are_read_and_written_once_for_all_slots_that_are_over():
+    store = _Store()
+    processor = _NamesInFrames(_HELD, ("event_id",), 3_600_000, None)
+    processor.init(store)
+    rows = [(10 * h + t, f"t{t}", "started" if h == 0 else "retried", f"n{t}" if h == 0 else None, h * 3_600_000_000 + t, t) for h in range(5) for t in range(8)]
+    assert list(processor.handleInputRows((0,), iter([pd.DataFrame(rows)]), None)) == []
+    assert store.timers == [3_600_000 * h for h in range(1, 6)]
+    frames = [f for at in store.timers[:4] for f in processor.handleExpiredTimer((0,), _Time(4 * 3_600_000), _Time(at))]
+    assert sorted(n for f in frames for n in f["carried_name"]) == sorted(f"n{t}" for t in range(8) for _ in range(4))
+    # Once for the slots that the watermark has passed, once for the one that ends with it.
+    assert [c for c in store.calls if c[0] == "names"].count(("names", "get")) <= 2
+    assert [c for c in store.calls if c[0] == "names"].count(("names", "put")) == 1
+
+
+def test_values_beside_names_come_back_as_they_were(spark, tmp_path):
+    """Whole numbers beside nulls, times, nested values: nothing is rounded; a time far off stops nothing."""
+    rows = spark.range(8).selectExpr(
+        "id AS event_id", "timestamp_micros(CASE WHEN id = 7 THEN 32503680000000000 ELSE 1700000000000000 + id END) AS event_ts",
+        "'t' AS uuid", "'retried' AS kind", "CASE WHEN id % 2 = 0 THEN 'a' END AS name",
+        "CASE WHEN id % 2 = 0 THEN 9007199254740993 + id END AS whole", "CASE WHEN id % 3 = 0 THEN id > 3 END AS flag",
+        "CASE WHEN id % 2 = 0 THEN timestamp_micros(1700000000123456 + id) END AS instant", "TIMESTAMP_NTZ '3024-02-03 04:05:06.789012' AS plain",
+        "CAST(id / 7 AS double) AS part", "CAST('nan' AS float) AS no_number", "CAST(id / 8 AS decimal(20, 5)) AS exact", "DATE '0044-03-15' AS day",
+        "encode('x', 'utf-8') AS raw", "array('a', NULL, 'b') AS list", "named_struct('n', 9007199254740993, 's', CAST(NULL AS string)) AS nested",
+    )
+    path = str(tmp_path / "in")
+    rows.coalesce(1).write.parquet(path)
+    stream = spark.readStream.schema(rows.schema).parquet(path)
+    with S.settings(spark, S.stateful(spark)):
+        got = S.append_all(named_in_order(stream, "1 day", "1 hour", None), "values")
+    kept = rows.columns
+    assert {(r.event_id, r.carried_name) for r in got.collect()} == {(i, "a" if i % 2 == 0 else None) for i in range(7)}
+    assert got.columns == [*[c for c in kept if c != "event_ts"], "carried_name", "settled_at", "event_ts"]
+    assert got.select(*kept).dtypes == rows.dtypes
+    assert list(map(str, got.select(*kept).orderBy("event_id").collect())) == list(map(str, rows.filter("event_id < 7").orderBy("event_id").collect()))
+
+
 def test_a_batch_is_many_files_and_ends_with_its_number(spark):
     rows = spark.range(4000).select("id", F.when(F.col("id") < 2500, 0).when(F.col("id") < 3990, 1).otherwise(3).alias("file"))
     path, files = _append_in_order(rows.unionByName(spark.createDataFrame([(-2, None)], "id long, file int")), "files", 500, clock=[(-1,)])
